@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """All columns nullable, so that dirty rows can land."""
+    schema = T.StructType()
+    for field in spec.split(","):
+        name, kind = field.split()
+        schema.add(name, _TYPES[kind], nullable=True)
+    return schema
 
 
 RAW_SCHEMAS: dict[str, T.StructType] = {

@@ -33,8 +33,8 @@ NEW_CUSTOMER_DAYS = 90
 NEW_CUSTOMER_SEGMENTS = ("New", "Repeat")
 # Country of each city, language of each customer country.
 COUNTRY_BY_CITY = {
-    "Paris": "France", "Rome": "Italy", "London": "UK", "Dubai": "UAE",
-    "Barcelona": "Spain",
+    "Paris": "France", "Rome": "Italy", "London": "United Kingdom",
+    "Dubai": "United Arab Emirates", "Barcelona": "Spain",
 }
 LANGUAGE_BY_COUNTRY = {
     "USA": "English", "UK": "English", "Germany": "German", "France": "French",

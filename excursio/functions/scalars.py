@@ -15,8 +15,10 @@ def clamp(value: Column, low: float, high: float) -> Column:
 
 def make_id(prefix: str, number: Column, width: int = 0) -> Column:
     """Prefix plus number, zero-padded to ``width``; longer numbers keep all digits."""
-    pattern = f"{prefix}%0{width}d" if width else f"{prefix}%d"
-    return F.format_string(pattern, number)
+    digits = number.cast("string")
+    if width:
+        digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+    return F.concat(F.lit(prefix), digits)
 
 
 def id_number(identifier: Column, prefix_length: int) -> Column:

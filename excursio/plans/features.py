@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from excursio.plans.intermediate import experience_days
 from excursio.warehouse import Warehouse
 
 CALENDAR_COLUMNS = ["day_of_week", "is_weekend", "month", "quarter", "day_name"]
@@ -57,7 +56,7 @@ def with_calendar(wh: Warehouse, df: DataFrame, day: str) -> DataFrame:
 
 
 def ml_base_features(wh: Warehouse) -> DataFrame:
-    days = experience_days(wh).select(
+    days = wh.table("experience_days").select(
         "experience_id",
         F.col("experience_date").alias("feature_date"),
         "city",

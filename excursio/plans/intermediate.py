@@ -212,7 +212,7 @@ DAILY_METRIC_COLUMNS = [
 
 
 def int_experience_daily_metrics(wh: Warehouse) -> DataFrame:
-    return experience_days(wh).select(*DAILY_METRIC_COLUMNS)
+    return wh.table("experience_days").select(*DAILY_METRIC_COLUMNS)
 
 
 MODELS = {
@@ -221,3 +221,6 @@ MODELS = {
     "int_customer_activity": int_customer_activity,
     "int_experience_daily_metrics": int_experience_daily_metrics,
 }
+
+# Not a published model: the wide daily table that the daily metrics and the features share.
+HELPERS = {"experience_days": experience_days}

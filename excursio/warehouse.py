@@ -34,6 +34,12 @@ def models() -> dict[str, Builder]:
     }
 
 
+def _builder(name: str) -> Builder:
+    from excursio.plans.intermediate import HELPERS
+
+    return HELPERS.get(name) or models()[name]
+
+
 class Warehouse:
     def __init__(
         self,
@@ -62,7 +68,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = models()[name](self)
+            self._built[name] = _builder(name)(self)
         return self._built[name]
 
     def materialise(self, *names: str) -> "Warehouse":

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
@@ -15,7 +16,7 @@ _TYPES = {
 }
 
 
-def _schema(spec: str) -> T.StructType:
+def schema_of(spec: str) -> T.StructType:
     """All columns nullable, so that dirty rows can land."""
     schema = T.StructType()
     for field in spec.split(","):
@@ -25,31 +26,31 @@ def _schema(spec: str) -> T.StructType:
 
 
 RAW_SCHEMAS: dict[str, T.StructType] = {
-    "suppliers": _schema(
+    "suppliers": schema_of(
         "supplier_id string, supplier_name string, country string, supplier_type string, "
         "contract_start_date date, commission_rate double, supplier_status string"
     ),
-    "experiences": _schema(
+    "experiences": schema_of(
         "experience_id string, experience_name string, city string, country string, "
         "category string, supplier_id string, base_price double, capacity int, "
         "rating double, active_flag boolean"
     ),
-    "customers": _schema(
+    "customers": schema_of(
         "customer_id string, signup_date date, country string, preferred_language string, "
         "acquisition_channel string, customer_segment string"
     ),
-    "availability": _schema(
+    "availability": schema_of(
         "experience_id string, experience_date date, time_slot string, total_capacity int, "
         "available_capacity int, price double"
     ),
-    "bookings": _schema(
+    "bookings": schema_of(
         "booking_id string, customer_id string, experience_id string, "
         "booking_timestamp timestamp_ntz, experience_date date, number_of_guests int, "
         "ticket_price double, discount_amount double, booking_amount double, "
         "booking_channel string, currency string, lead_time_days int, discount_pct double, "
         "booking_status string, payment_status string"
     ),
-    "web_events": _schema(
+    "web_events": schema_of(
         "event_id string, customer_id string, session_id string, experience_id string, "
         "event_timestamp timestamp_ntz, event_type string, device_type string, "
         "traffic_source string, city_searched string"

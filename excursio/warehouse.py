@@ -44,12 +44,12 @@ class Warehouse:
     def __init__(
         self,
         spark: SparkSession,
-        raw: Mapping[str, DataFrame],
+        raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
         as_of: dt.date | None = None,
         calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
     ) -> None:
         self.spark = spark
-        self.raw = dict(raw)
+        self._raw = dict(raw)
         self.calendar = calendar
         self._as_of = as_of
         self._built: dict[str, DataFrame] = {}
@@ -64,7 +64,10 @@ class Warehouse:
         return F.lit(self._as_of).cast("timestamp_ntz")
 
     def source(self, name: str) -> DataFrame:
-        return self.raw[name]
+        """A raw table; sources given as functions are opened on first use."""
+        if callable(self._raw[name]):
+            self._raw[name] = self._raw[name]()
+        return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:

@@ -55,7 +55,8 @@ CTES = {
              ON p_partkey = l_partkey
         WHERE p_partkey % 97 <> 0""",
     "raw_customers": """
-        SELECT 'C' || c_custkey AS customer_id, first_order::DATE AS signup_date,
+        SELECT 'C' || c_custkey AS customer_id, CASE WHEN c_custkey % 7 = 0 THEN DATE '2001-11-01'
+                    ELSE first_order::DATE END AS signup_date,
                n_name AS country,
                list_extract(['English', 'German', 'French', 'Arabic'],
                             (c_nationkey % 4 + 1)::INT) AS preferred_language,
@@ -403,6 +404,126 @@ _UNBOOKED = """
           AND l.{left_time} = r.{right_time})"""
 
 
+_STAGES = (
+    "'SEARCH', 'VIEW_EXPERIENCE', 'CHECK_AVAILABILITY', 'ADD_TO_CART', 'CHECKOUT', 'PURCHASE'"
+)
+
+# model | kind | column(s) | severity | detail
+_CHECKS = f"""
+stg_suppliers | key | supplier_id | error |
+stg_suppliers | accepted_values | supplier_status | error | 'ACTIVE', 'INACTIVE'
+stg_experiences | key | experience_id | error |
+stg_experiences | relationships | supplier_id | error | stg_suppliers
+stg_experiences | expression | base_price | error | > 0
+stg_customers | key | customer_id | error |
+stg_customers | accepted_values | customer_segment | error | 'New', 'Repeat', 'VIP', 'Dormant'
+stg_availability | relationships | experience_id | error | stg_experiences
+stg_availability | unique_combination | experience_id,experience_date,time_slot | error |
+stg_bookings | key | booking_id | error |
+stg_bookings | not_null | customer_id | warn |
+stg_bookings | relationships | experience_id | warn | stg_experiences
+stg_bookings | accepted_values | booking_status | error | 'CONFIRMED', 'CANCELLED', 'REFUNDED'
+stg_bookings | expression | booking_amount | warn | >= 0
+stg_web_events | key | event_id | error |
+stg_web_events | relationships | customer_id | error | stg_customers
+stg_web_events | accepted_values | event_type | error | {_STAGES}
+int_booking_details | key | booking_id | error |
+int_booking_details | relationships | experience_id | error | stg_experiences
+int_booking_details | relationships | supplier_id | error | stg_suppliers
+int_orphaned_bookings | key | booking_id | error |
+int_orphaned_bookings | accepted_values | orphan_reason | error | 'INVALID_EXPERIENCE_FK'
+int_customer_activity | key | customer_id | error |
+int_customer_activity | expression | total_bookings | error | >= 0
+int_customer_activity | expression | confirmed_bookings | error | <= total_bookings
+int_experience_daily_metrics | relationships | experience_id | error | stg_experiences
+int_experience_daily_metrics | unique_combination | experience_id,experience_date | error |
+dim_customer | key | customer_id | error |
+dim_supplier | key | supplier_id | error |
+dim_experience | key | experience_id | error |
+dim_experience | expression | rating | error | between 0 and 5
+dim_experience | relationships | supplier_id | error | dim_supplier
+dim_date | key | date_day | error |
+fact_bookings | key | booking_id | error |
+fact_bookings | relationships | customer_id | warn | dim_customer
+fact_bookings | relationships | experience_id | error | dim_experience
+fact_bookings | relationships | date_day | error | dim_date
+fact_bookings | expression | number_of_guests | error | >= 1
+fact_web_events | key | event_id | error |
+fact_web_events | relationships | customer_id | error | dim_customer
+fact_web_events | relationships | date_day | error | dim_date
+fact_experience_availability | relationships | experience_id | error | dim_experience
+fact_experience_availability | relationships | date_day | error | dim_date
+fact_experience_availability | unique_combination | experience_id,date_day,time_slot | error |
+ml_daily_price | relationships | experience_id | error | dim_experience
+ml_daily_price | unique_combination | experience_id,date_day | error |
+ml_base_features | relationships | experience_id | error | dim_experience
+ml_base_features | not_null | target_bookings | error |
+ml_base_features | unique_combination | experience_id,feature_date | error |
+ml_rolling_features | expression | days_of_prior_history | error | >= 0
+ml_rolling_features | unique_combination | experience_id,feature_date | error |
+ml_demand_features | relationships | experience_id | error | dim_experience
+ml_demand_features | not_null | target_bookings | error |
+ml_demand_features | unique_combination | experience_id,feature_date | error |
+"""
+
+
+def _check_sql(model: str, kind: str, column: str, severity: str, detail: str) -> str:
+    found = {
+        "unique": f"(SELECT {column} FROM {model} WHERE {column} IS NOT NULL "
+        f"GROUP BY {column} HAVING count(*) > 1)",
+        "unique_combination": f"(SELECT {column} FROM {model} GROUP BY {column} "
+        "HAVING count(*) > 1)",
+        "not_null": f"{model} WHERE {column} IS NULL",
+        "accepted_values": f"{model} WHERE {column} NOT IN ({detail})",
+        "expression": f"{model} WHERE NOT ({column} {detail})",
+        "relationships": f"{model} c WHERE {column} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {detail} p WHERE p.{column} = c.{column})",
+    }[kind]
+    return (
+        f"SELECT '{kind}:{column}' AS \"check\", '{model}' AS \"table\", "
+        f"'{column}' AS \"column\", '{severity}' AS severity, count(*) AS violations FROM {found}"
+    )
+
+
+def _dq_summary() -> str:
+    parts = [
+        "SELECT 'booking_split_conserves_rows' AS \"check\", 'stg_bookings' AS \"table\", "
+        "'booking_id' AS \"column\", 'error' AS severity, CASE WHEN "
+        "(SELECT count(*) FROM stg_bookings) <> (SELECT count(*) FROM int_booking_details) "
+        "+ (SELECT count(*) FROM int_orphaned_bookings) THEN 1 ELSE 0 END AS violations"
+    ]
+    for line in _CHECKS.strip().splitlines():
+        model, kind, column, severity, detail = [part.strip() for part in line.split("|")]
+        for single in ("unique", "not_null") if kind == "key" else (kind,):
+            parts.append(_check_sql(model, single, column, severity, detail))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _violations(label: str, rules: dict[str, str]) -> str:
+    rows = [
+        f"SELECT {label}, '{rule}' AS rule, count(*) AS violations FROM {source}"
+        for rule, source in rules.items()
+    ]
+    return " UNION ALL ".join(rows)
+
+
+def _repeats(label: str, rule: str, table: str, key: str) -> str:
+    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM {table}))"
+    return f"SELECT {label}, '{rule}' AS rule, count(*) - {distinct} AS violations FROM {table}"
+
+
+_TRAINING = "SELECT * FROM ml_demand_features WHERE bookings_prev_7d_avg IS NOT NULL AND bookings_prev_28d_avg IS NOT NULL"  # noqa: E501
+_LAST_DAY = f"(SELECT max(feature_date) - 60 FROM ({_TRAINING}))"
+
+
+def _baseline(name: str, column: str) -> str:
+    error = f"(target_bookings - coalesce({column}, 0))"
+    return f"""
+        SELECT '{name}' AS model, round(avg(abs({error})), 3) AS mae,
+               round(sqrt(avg({error} * {error})), 3) AS rmse, count(*) AS n
+        FROM ({_TRAINING}) WHERE feature_date > {_LAST_DAY}"""
+
+
 def statements() -> dict[str, str]:
     city, category = "city = 'Brand#7'", "category = 'Museum'"
     money = "lifetime_booking_amount lifetime_confirmed_amount"
@@ -600,4 +721,168 @@ def statements() -> dict[str, str]:
                    round(count(*) / (SELECT count(*) FROM stg_bookings), 6) AS share
             FROM stg_bookings GROUP BY 1""",
     }
+    texts.update(_quality())
+    texts.update(_forecasting())
     return {name: with_models(text) for name, text in texts.items()}
+
+
+def _quality() -> dict[str, str]:
+    details = "(SELECT count(*) FROM int_booking_details)"
+    orphans = "(SELECT count(*) FROM int_orphaned_bookings)"
+    booking_columns = ["booking_id", "booking_timestamp", *_BOOKING_REST]
+    raw_tables = "suppliers experiences customers availability bookings web_events".split()
+    stg_orphans = {
+        "booking customer exists": ("stg_bookings", "customer_id", "stg_customers"),
+        "booking experience exists": ("stg_bookings", "experience_id", "stg_experiences"),
+        "experience supplier exists": ("stg_experiences", "supplier_id", "stg_suppliers"),
+        "event customer exists": ("stg_web_events", "customer_id", "stg_customers"),
+    }
+    invariant_rows = [
+        f"SELECT '{name}' AS invariant, count(*) AS violations FROM {child} c "
+        f"WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM {parent})"
+        for name, (child, key, parent) in stg_orphans.items()
+    ]
+    return {
+        "booking_split_counts": f"""
+            SELECT count(*) AS staging_row_count, {details} AS details_row_count,
+                   {orphans} AS orphan_row_count, {details} + {orphans} AS split_row_count
+            FROM stg_bookings""",
+        "booking_split_conservation": f"""
+            SELECT * FROM (SELECT count(*) AS staging_row_count,
+                                  {details} + {orphans} AS split_row_count FROM stg_bookings)
+            WHERE staging_row_count <> split_row_count""",
+        "unaccounted_bookings": """
+            SELECT booking_id FROM stg_bookings
+            WHERE booking_id NOT IN (SELECT booking_id FROM int_booking_details)
+              AND booking_id NOT IN (SELECT booking_id FROM int_orphaned_bookings)""",
+        "dq_summary": _dq_summary(),
+        "dq_profile": f"""
+            SELECT 'duplicate_booking' AS defect,
+                   count(*) - count(DISTINCT booking_id) AS n_rows FROM raw_bookings
+            UNION ALL SELECT 'duplicate_event', count(*) - count(DISTINCT event_id)
+                      FROM raw_web_events
+            UNION ALL SELECT 'null_customer', count(*) FROM stg_bookings
+                      WHERE customer_id IS NULL
+            UNION ALL SELECT 'negative_amount', count(*) FROM stg_bookings
+                      WHERE booking_amount < 0
+            UNION ALL SELECT 'late_booking', count(*) FROM stg_bookings
+                      WHERE booking_timestamp >= experience_date::TIMESTAMP
+            UNION ALL SELECT 'unknown_experience', count(*) FROM stg_bookings
+                      WHERE experience_id NOT IN (SELECT experience_id FROM stg_experiences)
+            UNION ALL SELECT 'out_of_order_session', count(DISTINCT session_id)
+                      FROM ({_STEPS}) WHERE event_timestamp <= previous_timestamp
+                                         OR stage < previous_stage""",
+        "batch_gate": " UNION ALL ".join([
+            _violations("'bookings' AS \"table\"", {
+                "booking_amount >= 0": "raw_bookings WHERE NOT coalesce(booking_amount >= 0, false)",
+            }),
+            _repeats("'bookings'", "unique booking_id", "raw_bookings", "booking_id"),
+            _violations("'availability'", {
+                "available_capacity <= total_capacity":
+                    "raw_availability WHERE NOT available_capacity <= total_capacity",
+                "total_capacity >= 0": "raw_availability WHERE NOT total_capacity >= 0",
+            }),
+            _violations("'web_events'", {
+                "known event_type": f"raw_web_events WHERE event_type NOT IN ({_STAGES})",
+                "session_id present": "raw_web_events WHERE session_id IS NULL",
+            }),
+        ]),
+        "contract_checks": " UNION ALL ".join([
+            _violations("'suppliers' AS dataset", {
+                "supplier_id present": "raw_suppliers WHERE supplier_id IS NULL",
+                "commission_rate in 0..1":
+                    "raw_suppliers WHERE NOT coalesce(commission_rate BETWEEN 0 AND 1, false)",
+                "known supplier_status":
+                    "raw_suppliers WHERE supplier_status NOT IN ('ACTIVE', 'INACTIVE')",
+            }),
+            _repeats("'suppliers'", "unique supplier_id", "raw_suppliers", "supplier_id"),
+            _violations("'experiences'", {
+                "experience_id present": "raw_experiences WHERE experience_id IS NULL",
+                "base_price positive": "raw_experiences WHERE base_price <= 0",
+                "capacity positive": "raw_experiences WHERE capacity <= 0",
+                "rating in 1..5":
+                    "raw_experiences WHERE NOT coalesce(rating BETWEEN 1 AND 5, false)",
+                "known supplier_id": "(SELECT DISTINCT supplier_id FROM raw_experiences e WHERE "
+                    "NOT EXISTS (SELECT 1 FROM raw_suppliers s "
+                    "WHERE s.supplier_id = e.supplier_id))",
+            }),
+            _repeats("'experiences'", "unique experience_id", "raw_experiences",
+                     "experience_id"),
+            _violations("'customers'", {
+                "customer_id present": "raw_customers WHERE customer_id IS NULL",
+                "known customer_segment": "raw_customers WHERE customer_segment "
+                    "NOT IN ('New', 'Repeat', 'VIP', 'Dormant')",
+                "signup_date present": "raw_customers WHERE signup_date IS NULL",
+            }),
+            _repeats("'customers'", "unique customer_id", "raw_customers", "customer_id"),
+        ]),
+        "invariants": " UNION ALL ".join([
+            *invariant_rows,
+            """SELECT 'booking day has inventory', count(*) FROM stg_bookings
+               WHERE (experience_id, experience_date) NOT IN
+                     (SELECT (experience_id, experience_date) FROM stg_availability)""",
+            """SELECT 'available capacity in bounds', count(*) FROM stg_availability
+               WHERE NOT available_capacity BETWEEN 0 AND total_capacity""",
+        ]),
+        "raw_row_counts": " UNION ALL ".join(
+            f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM raw_{t}" for t in raw_tables
+        ),
+        "null_counts": "SELECT " + ", ".join(
+            f"count(*) FILTER ({c} IS NULL) AS {c}" for c in booking_columns
+        ) + " FROM raw_bookings",
+        "next_booking_number": """
+            SELECT coalesce(max(try_cast(substr(booking_id, 2) AS BIGINT)), 90000) + 1
+                   AS next_number
+            FROM raw_bookings""",
+    }
+
+
+def _forecasting() -> dict[str, str]:
+    numeric = (
+        "capacity rating base_price avg_price bookings_prev_1d bookings_prev_7d_avg "
+        "bookings_prev_28d_avg utilization_prev_7d_avg cancellation_rate_prev_28d_avg "
+        "days_of_prior_history is_weekend"
+    ).split()
+    window = (
+        "avg({c}) OVER (PARTITION BY experience_id ORDER BY feature_date "
+        "ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    )
+    day = "(SELECT max(feature_date) + 1 FROM ml_base_features)"
+    return {
+        "chronological_split": f"""
+            SELECT CASE WHEN feature_date <= {_LAST_DAY} THEN 'train' ELSE 'test' END AS part,
+                   count(*) AS n_rows, min(feature_date) AS first_day,
+                   max(feature_date) AS last_day
+            FROM ({_TRAINING}) GROUP BY 1""",
+        "baseline_scores": " UNION ALL ".join([
+            _baseline("last_value", "bookings_prev_1d"),
+            _baseline("mean_7d", "bookings_prev_7d_avg"),
+            _baseline("mean_28d", "bookings_prev_28d_avg"),
+        ]),
+        "imputed_feature_counts": "SELECT " + ", ".join(
+            f"count(*) FILTER ({c} IS NULL) AS {c}" for c in numeric
+        ) + f" FROM ({_TRAINING})",
+        "next_day_features": f"""
+            SELECT * REPLACE (round(rating, 8) AS rating) FROM (
+                SELECT *, lag(target_bookings) OVER w AS bookings_prev_1d,
+                       round({window.format(c="target_bookings", n=7)}, 8)
+                           AS bookings_prev_7d_avg,
+                       round({window.format(c="target_bookings", n=28)}, 8)
+                           AS bookings_prev_28d_avg,
+                       round({window.format(c="target_utilization_rate", n=7)}, 8)
+                           AS utilization_prev_7d_avg,
+                       round({window.format(c="target_cancellation_rate", n=28)}, 8)
+                           AS cancellation_rate_prev_28d_avg,
+                       (row_number() OVER w - 1)::INT AS days_of_prior_history
+                FROM (
+                    SELECT * FROM ml_base_features
+                    UNION ALL
+                    SELECT experience_id, date_day, day_of_week, is_weekend, month, quarter,
+                           day_name, city, category, capacity, rating, base_price,
+                           round(base_price * {_SEASON.format(day="date_day")}
+                                 * (CASE WHEN is_weekend THEN 1.15 ELSE 1 END)::DOUBLE, 2),
+                           NULL, NULL, NULL, NULL
+                    FROM dim_experience, dim_date WHERE active_flag AND date_day = {day})
+                WINDOW w AS (PARTITION BY experience_id ORDER BY feature_date))
+            WHERE feature_date = {day}""",
+    }

@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from excursio.functions.scalars import null_counts
 from excursio.operators.measures import value_distribution
-from excursio.plans import business, kpis
+from excursio.plans import business, checks, kpis, training
+from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
+from excursio.sources import state
 from excursio.sources.star_adapter import open_warehouse
 from excursio.warehouse import Warehouse
 
@@ -128,4 +131,53 @@ def queries() -> dict[str, Query]:
             lambda wh: value_distribution(wh.table("stg_bookings"), "booking_status"), 6
         ),
     }
-    return {**models, **dashboard, **rules}
+    quality = {
+        "booking_split_counts": on(checks.split_counts),
+        "booking_split_conservation": on(checks.split_violation),
+        "unaccounted_bookings": on(checks.unaccounted_bookings),
+        "dq_summary": on(checks.check_models),
+        "dq_profile": on(checks.defect_profile),
+        "batch_gate": on(checks.gate_all),
+        "contract_checks": on(checks.contract_checks),
+        "invariants": on(checks.invariants),
+        "raw_row_counts": on(lambda wh: checks.row_counts(wh, tuple(RAW_SCHEMAS))),
+        "null_counts": on(lambda wh: null_counts(wh.source("bookings"), columns("bookings"))),
+        "next_booking_number": on(
+            lambda wh: state.next_number(
+                wh.source("bookings"), "booking_id", "B", state.BOOKING_BASE
+            )
+        ),
+    }
+    forecasting = {
+        "chronological_split": on(_split),
+        "baseline_scores": on(_baselines),
+        "imputed_feature_counts": on(
+            lambda wh: null_counts(_training_rows(wh), training.NUMERIC_FEATURES)
+        ),
+        "next_day_features": on(training.next_day_features, 8, avg_price=7),
+        "model_leaderboard": on(_leaderboard),
+        "champion_gate": on(lambda wh: training.gate(_leaderboard(wh), None)),
+    }
+    return {**models, **dashboard, **rules, **quality, **forecasting}
+
+
+def _training_rows(wh: Warehouse) -> DataFrame:
+    wh.materialise("ml_rolling_features")
+    return training.drop_short_history(training.load_features(wh))
+
+
+def _split(wh: Warehouse) -> DataFrame:
+    return training.split_summary(*training.split_by_time(_training_rows(wh)))
+
+
+def _baselines(wh: Warehouse) -> DataFrame:
+    return training.baseline_scores(training.split_by_time(_training_rows(wh))[1])
+
+
+# Small ensembles: the registered query shows the flow, full sizes are the library default.
+_QUICK = training.TrainingOptions(trees=5, forest_depth=5, rounds=5, boost_depth=3)
+
+
+def _leaderboard(wh: Warehouse) -> DataFrame:
+    parts = training.split_by_time(_training_rows(wh))
+    return training.fit_all(*parts, options=_QUICK)[1]

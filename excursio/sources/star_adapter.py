@@ -119,6 +119,12 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The event log as a clickstream; the pattern fits a single file and a folder of files."""
+    log = spark.readStream.schema(STAR_SCHEMAS["events"]).parquet(f"{folder}/events.parquet*")
+    return _web_events(log).select(*columns("web_events"))
+
+
 def _recode(values: dict[str, str], code: Column, otherwise: Column | None = None) -> Column:
     chosen = None
     for source, target in values.items():

@@ -723,6 +723,7 @@ def statements() -> dict[str, str]:
     }
     texts.update(_quality())
     texts.update(_forecasting())
+    texts.update(_streams())
     return {name: with_models(text) for name, text in texts.items()}
 
 
@@ -886,3 +887,30 @@ def _forecasting() -> dict[str, str]:
                 WINDOW w AS (PARTITION BY experience_id ORDER BY feature_date))
             WHERE feature_date = {day}""",
     }
+
+
+def _streams() -> dict[str, str]:
+    """What a stream has let out once its input is used up: everything before the watermark."""
+    closed = "(SELECT max(event_timestamp) - INTERVAL 1 DAY FROM raw_web_events)"
+    return {
+        "stream_dedup": "SELECT * FROM stg_web_events",
+        "stream_daily_stages": """
+            SELECT event_timestamp::DATE AS day, event_type,
+                   count(DISTINCT session_id) AS sessions
+            FROM raw_web_events GROUP BY 1, 2
+            HAVING event_timestamp::DATE + INTERVAL 1 DAY
+                   <= (SELECT max(event_timestamp)::DATE - INTERVAL 1 DAY FROM raw_web_events)""",
+        "stream_sessions": f"""
+            SELECT customer_id, count(*) AS events, min(event_timestamp) AS first_event_at,
+                   max(event_timestamp) AS last_event_at,
+                   max({_STAGE})::INT AS deepest_stage,
+                   count(*) FILTER (event_type = 'PURCHASE') > 0 AS converted
+            FROM (SELECT *, sum(starts) OVER (PARTITION BY customer_id ORDER BY event_timestamp)
+                                AS visit
+                  FROM (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER (
+                                           PARTITION BY customer_id ORDER BY event_timestamp)
+                                       <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts
+                        FROM raw_web_events))
+            GROUP BY customer_id, visit
+            HAVING max(event_timestamp) + INTERVAL 30 MINUTE <= {closed}""",
+    }

@@ -7,6 +7,7 @@ agree; the library itself returns unrounded values.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from excursio.plans import business, checks, kpis, training
 from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
 from excursio.sources import state
-from excursio.sources.star_adapter import open_warehouse
+from excursio.shared import shared_folder
+from excursio.sources.star_adapter import event_stream, open_warehouse
+from excursio.streaming import events as stream_events
 from excursio.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,7 +161,27 @@ def queries() -> dict[str, Query]:
         "model_leaderboard": on(_leaderboard),
         "champion_gate": on(lambda wh: training.gate(_leaderboard(wh), None)),
     }
-    return {**models, **dashboard, **rules, **quality, **forecasting}
+    streams = {
+        "stream_dedup": _streamed(
+            lambda events: stream_events.deduplicated(events, "event_id", "event_timestamp")
+        ),
+        "stream_daily_stages": _streamed(stream_events.daily_stage_sessions),
+        "stream_daily_stages_approx": _streamed(stream_events.daily_stage_sessions_approx),
+        "stream_sessions": _streamed(stream_events.activity_sessions),
+    }
+    return {**models, **dashboard, **rules, **quality, **forecasting, **streams}
+
+
+def _streamed(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """Run the clickstream through ``build`` until the input is used up; read what it wrote."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        stream = build(event_stream(configure(spark), folder))
+        place = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+        stream_events.append_to(stream, f"{place}/rows", f"{place}/checkpoint")
+        return spark.read.schema(stream.schema).parquet(f"{place}/rows")
+
+    return query
 
 
 def _training_rows(wh: Warehouse) -> DataFrame:

@@ -23,6 +23,12 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return spark.range(1).select(F.explode(days_between(start, end)).alias("date_day"))
 
 
+def spine_over(df: DataFrame, column: str) -> DataFrame:
+    """One row per day from the earliest to the latest date in ``column``."""
+    ends = df.agg(F.min(column).alias("first"), F.max(column).alias("last"))
+    return ends.select(F.explode(F.sequence("first", "last")).alias("date_day"))
+
+
 def day_of_week(day: ColumnOrName) -> Column:
     """0 = Sunday … 6 = Saturday."""
     return F.dayofweek(day) - 1

@@ -37,6 +37,15 @@ def split_by_parent(
     return kept, rejected.withColumn("quarantine_reason", F.lit(reason))
 
 
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by name, paired up so that planning time stays linear in the number of parts."""
+    frames = list(parts)
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
 def unmatched_between(
     left: DataFrame, right: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:

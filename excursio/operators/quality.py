@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from excursio.operators.joins import missing_parents
+from excursio.operators.joins import missing_parents, union_all
 from excursio.operators.measures import row_count
 
 Tables = Callable[[str], DataFrame]
@@ -93,7 +92,7 @@ def summarise(tables: Tables, checks: Iterable[Check]) -> DataFrame:
         for check in group:
             if check.kind not in ROW_KINDS:
                 parts.append(check._count(tables).select(*check.labels(), "violations"))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def _row_level_summary(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

@@ -48,7 +48,7 @@ def expected_demand(wh: Warehouse, scale: float = rules.DEMAND_SCALE) -> DataFra
 
     Popularity is the experience's mean daily bookings relative to the overall mean.
     """
-    days = wh.table("experience_days")
+    days = wh.materialise("experience_days").table("experience_days")
     overall = days.agg(F.avg("total_bookings")).scalar()
     own = Window.partitionBy("experience_id")  # one row per calendar day
     popularity = ratio(F.avg("total_bookings").over(own), overall)
@@ -83,6 +83,7 @@ def prior_cancellations(
         F.col("experience_category").alias("category"),
         "booking_status",
     )
+    bookings = wh.settled(bookings, "bookings-by-customer", "int_booking_details")
     lost = F.coalesce(F.col("booking_status").isin(*LOST_STATUSES), F.lit(False)).cast("bigint")
     return running_total(
         bookings,
@@ -236,7 +237,7 @@ def session_steps(
         position_in(FUNNEL_STAGES, F.col("event_type")).alias("stage"),
     )
     return previous_values(
-        events,
+        wh.settled(events, "session-events", "stg_web_events"),
         "session_id",
         ["event_timestamp", "event_id"],
         {"previous_timestamp": "event_timestamp", "previous_stage": "stage"},

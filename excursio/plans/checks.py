@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from excursio.functions import rules
 from excursio.operators import quality
-from excursio.operators.joins import missing_parents
+from excursio.operators.joins import missing_parents, union_all
 from excursio.operators.measures import row_count
 from excursio.operators.quality import ERROR, WARN, Check
 from excursio.plans.business import bookings_without_inventory, session_order_violations
@@ -111,15 +109,12 @@ FEATURE_CHECKS = [
 MODEL_CHECKS = [*STAGING_CHECKS, *INTERMEDIATE_CHECKS, *MART_CHECKS, *FEATURE_CHECKS]
 
 # Models many checks read; written once before a suite runs instead of recomputed per check.
+# Each stage needs only the stages before it.
 SHARED_MODELS = (
-    "stg_experiences",
-    "stg_availability",
-    "stg_bookings",
-    "stg_web_events",
-    "int_booking_details",
-    "experience_days",
-    "int_customer_activity",
-    "ml_rolling_features",
+    ("stg_experiences", "stg_availability", "stg_bookings", "stg_web_events"),
+    ("int_booking_details",),
+    ("experience_days", "int_customer_activity"),
+    ("ml_rolling_features",),
 )
 
 
@@ -152,7 +147,7 @@ def unaccounted_bookings(wh: Warehouse) -> DataFrame:
 
 def check_models(wh: Warehouse) -> DataFrame:
     """Summary of all declared checks plus the conservation test."""
-    wh.materialise(*SHARED_MODELS)
+    wh.materialise_stages(SHARED_MODELS)
     conservation = split_violation(wh).agg(row_count("violations"))
     labels = {
         "check": "booking_split_conserves_rows",
@@ -194,7 +189,7 @@ def gate_batch(table: str, batch: DataFrame) -> DataFrame:
 
 def gate_all(wh: Warehouse) -> DataFrame:
     batches = ("bookings", "availability", "web_events")
-    return reduce(DataFrame.unionByName, [gate_batch(t, wh.source(t)) for t in batches])
+    return union_all([gate_batch(t, wh.source(t)) for t in batches])
 
 
 def contract_checks(wh: Warehouse) -> DataFrame:
@@ -250,7 +245,7 @@ def contract_checks(wh: Warehouse) -> DataFrame:
             unknown.agg(row_count("violations")), dataset="experiences", rule="known supplier_id"
         )
     )
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def raise_if_invalid(summary: DataFrame, label: str) -> None:
@@ -280,10 +275,7 @@ def invariants(wh: Warehouse) -> DataFrame:
         "event customer exists": orphans("stg_web_events", "customer_id", "stg_customers"),
         "available capacity in bounds": capacity,
     }
-    return reduce(
-        DataFrame.unionByName,
-        [quality.labelled(df, invariant=name) for name, df in parts.items()],
-    )
+    return union_all([quality.labelled(df, invariant=name) for name, df in parts.items()])
 
 
 def defect_profile(wh: Warehouse) -> DataFrame:
@@ -320,10 +312,10 @@ def defect_profile(wh: Warehouse) -> DataFrame:
             for name, df in repeats.items()
         ],
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def row_counts(wh: Warehouse, names: tuple[str, ...]) -> DataFrame:
     """Load audit: (table, n_rows) of the raw tables."""
     counts = [quality.labelled(wh.source(n).agg(row_count("n_rows")), table=n) for n in names]
-    return reduce(DataFrame.unionByName, counts)
+    return union_all(counts)

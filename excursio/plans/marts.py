@@ -33,8 +33,13 @@ def dim_experience(wh: Warehouse) -> DataFrame:
 
 
 def dim_date(wh: Warehouse) -> DataFrame:
+    return calendar_rows(date_spine(wh.spark, *wh.calendar))
+
+
+def calendar_rows(spine: DataFrame) -> DataFrame:
+    """Calendar attributes of each ``date_day``."""
     day = F.col("date_day")
-    return date_spine(wh.spark, *wh.calendar).select(
+    return spine.select(
         day,
         F.year(day).alias("year"),
         F.month(day).alias("month"),

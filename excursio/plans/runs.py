@@ -17,16 +17,16 @@ from excursio.sources.landing import Lake, backfill, ingest, read_raw
 from excursio.sources.state import advance_state, refuse_if_loaded
 from excursio.warehouse import CALENDAR_END, CALENDAR_START, Warehouse
 
-# Layers in build order: the models they hold, the models other layers read often, the checks.
+# Layers in build order: their models, the often-read models to write (in stages), the checks.
 LAYERS = {
     "staging": (
         staging.MODELS,
-        ("stg_availability", "stg_bookings", "stg_web_events"),
+        (("stg_availability", "stg_bookings", "stg_web_events"),),
         checks.STAGING_CHECKS,
     ),
     "intermediate": (
         intermediate.MODELS,
-        ("int_booking_details", "experience_days", "int_customer_activity"),
+        (("int_booking_details",), ("experience_days", "int_customer_activity")),
         checks.INTERMEDIATE_CHECKS,
     ),
     "marts": (marts.MODELS, (), checks.MART_CHECKS),
@@ -63,7 +63,7 @@ def build(wh: Warehouse, lake: Lake) -> list:
     """
     warnings = []
     for layer, (models, shared, layer_checks) in LAYERS.items():
-        wh.materialise(*shared)
+        wh.materialise_stages(shared)
         if layer in WRITTEN_LAYERS:
             for name in models:
                 path = f"{lake.lake}/{layer}/{name}"

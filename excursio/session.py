@@ -33,6 +33,7 @@ def local_session(app: str, cpus: str | int = "*", partitions: int = 8) -> Spark
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in RUNTIME_SETTINGS.items():

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,23 @@ class Warehouse:
                 self.replace(name, write_shared(self.table(name), name))
         return self
 
+    def materialise_stages(self, stages: Iterable[Iterable[str]]) -> "Warehouse":
+        """Write stage after stage; the models of one stage are written side by side."""
+        for stage in stages:
+            pending = {name: self.table(name) for name in stage if name not in self.written}
+            with ThreadPoolExecutor(max(1, len(pending))) as pool:
+                copies = list(pool.map(write_shared, pending.values(), pending))
+            for name, copy in zip(pending, copies):
+                self.replace(name, copy)
+        return self
+
+    def settled(self, df: DataFrame, label: str, *upstream: str) -> DataFrame:
+        """``df`` itself when its models are written already, otherwise a written copy of it.
+
+        For plans that read ``df`` more than once and would recompute it each time.
+        """
+        return df if self.written.issuperset(upstream) else write_shared(df, label)
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Swap a model for an already written copy; unwritten models are rebuilt on it."""
         self._built = {k: v for k, v in self._built.items() if k in self.written}

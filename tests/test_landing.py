@@ -1,4 +1,4 @@
-"""CSV landing, incremental loads, state and the daily pipeline."""
+"""CSV landing, incremental loads, state and the daily runs."""
 
 from __future__ import annotations
 
@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from excursio.operators.quality import CheckFailed
-from excursio.plans import pipeline
+from excursio.plans import runs
 from excursio.sources import landing, state
 from excursio.sources.landing import Lake
 from tests.conftest import booking, event, as_dicts
 
 DAY1, DAY2 = dt.date(2026, 1, 2), dt.date(2026, 1, 3)
-SETTINGS = pipeline.Settings(
+SETTINGS = runs.Settings(
     calendar=(dt.date(2025, 12, 1), dt.date(2026, 2, 1)), as_of=dt.date(2026, 3, 1)
 )
 
@@ -211,11 +211,11 @@ def stocked(spark, lake, tmp_path):
 
 
 def test_daily_run_guard_and_backfill(spark, stocked, tmp_path):
-    first = pipeline.run_daily(spark, stocked, DAY1, SETTINGS).first()
+    first = runs.run_daily(spark, stocked, DAY1, SETTINGS).first()
     assert (first["raw_bookings"], first["bookings"], first["features"]) == (2, 2, 1)
     with pytest.raises(state.AlreadyLoaded):
-        pipeline.run_daily(spark, stocked, DAY1, SETTINGS)
-    second = pipeline.run_daily(spark, stocked, DAY2, SETTINGS).first()
+        runs.run_daily(spark, stocked, DAY1, SETTINGS)
+    second = runs.run_daily(spark, stocked, DAY2, SETTINGS).first()
     assert (second["raw_bookings"], second["features"], second["warnings"]) == (4, 2, 0)
     assert state.last_loaded_date(spark, stocked.state) == DAY2
 
@@ -223,7 +223,7 @@ def test_daily_run_guard_and_backfill(spark, stocked, tmp_path):
     for table in ("suppliers", "experiences", "customers"):
         landing.bulk_load(spark, other, table, str(tmp_path / f"{table}.csv"))
     end = DAY2 + dt.timedelta(days=1)
-    pipeline.run_backfill(spark, other, DAY1, end, SETTINGS)
+    runs.run_backfill(spark, other, DAY1, end, SETTINGS)
     for model in ("marts/fact_bookings", "ml/ml_demand_features"):
         daily = spark.read.parquet(f"{stocked.lake}/{model}")
         bulk = spark.read.parquet(f"{other.lake}/{model}")
@@ -235,7 +235,7 @@ def test_build_stops_at_a_failed_check(spark, stocked, tmp_path):
     path.write_text(path.read_text().replace("SUP00001", "SUP00002"))
     landing.bulk_load(spark, stocked, "suppliers", str(path))
     with pytest.raises(CheckFailed, match="relationships:supplier_id"):
-        pipeline.run_daily(spark, stocked, DAY1, SETTINGS)
+        runs.run_daily(spark, stocked, DAY1, SETTINGS)
     assert state.read_or_none(spark, f"{stocked.lake}/marts/fact_bookings") is None
 
 

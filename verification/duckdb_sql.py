@@ -548,7 +548,10 @@ def statements() -> dict[str, str]:
         "dim_customer": _model("dim_customer"),
         "dim_supplier": _model("dim_supplier", columns="commission_rate"),
         "dim_experience": _model("dim_experience", columns="rating"),
-        "dim_date": _model("dim_date"),
+        "dim_date": """
+            SELECT * FROM dim_date
+            WHERE date_day BETWEEN (SELECT min(experience_date) FROM stg_availability)
+                               AND (SELECT max(experience_date) FROM stg_availability)""",
         "fact_bookings": _model("fact_bookings"),
         "fact_web_events": _model("fact_web_events"),
         "fact_availability": _model("fact_experience_availability", price=7),

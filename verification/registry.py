@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from excursio.functions.calendar import spine_over
 from excursio.functions.scalars import null_counts
 from excursio.operators.measures import value_distribution
 from excursio.plans import business, checks, kpis, training
+from excursio.plans.marts import calendar_rows
 from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
 from excursio.sources import state
@@ -64,7 +66,9 @@ def queries() -> dict[str, Query]:
         "dim_customer": _model("dim_customer"),
         "dim_supplier": _model("dim_supplier"),
         "dim_experience": _model("dim_experience"),
-        "dim_date": _model("dim_date"),
+        "dim_date": on(
+            lambda wh: calendar_rows(spine_over(wh.table("stg_availability"), "experience_date"))
+        ),
         "fact_bookings": _model("fact_bookings"),
         "fact_web_events": _model("fact_web_events"),
         "fact_availability": _model("fact_experience_availability", price=7),

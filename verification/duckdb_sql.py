@@ -895,7 +895,28 @@ def _forecasting() -> dict[str, str]:
 def _streams() -> dict[str, str]:
     """What a stream has let out once its input is used up: everything before the watermark."""
     closed = "(SELECT max(event_timestamp) - INTERVAL 1 DAY FROM raw_web_events)"
+    prior = _PRIOR.replace("int_booking_details", "stg_bookings").replace(
+        "experience_category AS category,", ""
+    )
     return {
+        "stream_prior_cancellations": f"""
+            SELECT booking_id, customer_id, booking_status, prior_cancellations
+            FROM ({prior})""",
+        "stream_enriched_bookings": """
+            SELECT booking_id, b.experience_id, experience_name, city
+            FROM stg_bookings b JOIN stg_experiences e ON b.experience_id = e.experience_id""",
+        "stream_late_bookings": """
+            SELECT booking_id, booking_timestamp, experience_date FROM stg_bookings
+            WHERE booking_timestamp >= experience_date::TIMESTAMP""",
+        "landed_events": "SELECT * FROM raw_web_events",
+        "load_reconciliation": """
+            SELECT event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
+                   0::BIGINT AS rejected_rows, true AS complete
+            FROM raw_web_events GROUP BY 1""",
+        "quarantined_bookings": """
+            SELECT booking_id, experience_id, 'unknown experience' AS quarantine_reason
+            FROM stg_bookings
+            WHERE experience_id NOT IN (SELECT experience_id FROM stg_experiences)""",
         "stream_dedup": "SELECT * FROM stg_web_events",
         "stream_daily_stages": """
             SELECT event_timestamp::DATE AS day, event_type,

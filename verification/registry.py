@@ -16,12 +16,14 @@ from pyspark.sql import types as T
 
 from excursio.functions.calendar import spine_over
 from excursio.functions.scalars import null_counts
+from excursio.operators.joins import split_by_parent
 from excursio.operators.measures import value_distribution
 from excursio.plans import business, checks, kpis, training
 from excursio.plans.marts import calendar_rows
 from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
 from excursio.sources import state
+from excursio.sources.landing import Lake, ingest, load_reconciliation, read_raw, write_landing
 from excursio.shared import shared_folder
 from excursio.sources.star_adapter import event_stream, open_warehouse
 from excursio.streaming import events as stream_events
@@ -173,7 +175,75 @@ def queries() -> dict[str, Query]:
         "stream_daily_stages_approx": _streamed(stream_events.daily_stage_sessions_approx),
         "stream_sessions": _streamed(stream_events.activity_sessions),
     }
-    return {**models, **dashboard, **rules, **quality, **forecasting, **streams}
+    streams.update(
+        stream_prior_cancellations=on(_tracked_cancellations),
+        stream_enriched_bookings=on(_enriched_stream),
+        stream_late_bookings=on(_late_stream),
+    )
+    loads = {
+        "landed_events": on(lambda wh: read_raw(wh.spark, _landed(wh), "web_events")),
+        "load_reconciliation": on(
+            lambda wh: load_reconciliation(wh.spark, _landed(wh), "web_events")
+        ),
+        "quarantined_bookings": on(_quarantined),
+    }
+    return {**models, **dashboard, **rules, **quality, **forecasting, **streams, **loads}
+
+
+def _place(wh: Warehouse, label: str) -> str:
+    return f"{shared_folder(wh.spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _landed(wh: Warehouse) -> Lake:
+    """The event table written as day-partitioned CSV files and loaded back from them."""
+    place = _place(wh, "landing")
+    lake = Lake(f"{place}/files", f"{place}/lake")
+    write_landing(wh.source("web_events"), lake, "web_events", "event_timestamp")
+    ingest(wh.spark, lake, "web_events")
+    return lake
+
+
+def _quarantined(wh: Warehouse) -> DataFrame:
+    bookings = wh.table("stg_bookings").select("booking_id", "experience_id")
+    known = wh.table("stg_experiences")
+    return split_by_parent(bookings, known, "experience_id", "unknown experience")[1]
+
+
+def _booking_stream(wh: Warehouse) -> DataFrame:
+    """Deduplicated bookings as a stream over the files they were written to."""
+    place = _place(wh, "bookings")
+    bookings = wh.table("stg_bookings")
+    bookings.write.parquet(place)
+    return wh.spark.readStream.schema(bookings.schema).parquet(place)
+
+
+def _tracked_cancellations(wh: Warehouse) -> DataFrame:
+    place = _place(wh, "tracked")
+    out = f"{place}/rows"
+    stream_events.track_cancellations(
+        _booking_stream(wh), out, f"{place}/counts", f"{place}/checkpoint"
+    )
+    rows = wh.spark.read.parquet(out)
+    return rows.select("booking_id", "customer_id", "booking_status", "prior_cancellations")
+
+
+def _enriched_stream(wh: Warehouse) -> DataFrame:
+    catalog = wh.table("stg_experiences").select("experience_id", "experience_name", "city")
+    stream = stream_events.enriched(_booking_stream(wh), catalog)
+    stream = stream.select("booking_id", "experience_id", "experience_name", "city")
+    place = _place(wh, "enriched")
+    stream_events.append_to(stream, f"{place}/rows", f"{place}/checkpoint")
+    return wh.spark.read.schema(stream.schema).parquet(f"{place}/rows")
+
+
+def _late_stream(wh: Warehouse) -> DataFrame:
+    place = _place(wh, "late")
+    late = f"{place}/late"
+    stream_events.split_late(
+        _booking_stream(wh), f"{place}/in-time", late, f"{place}/checkpoint"
+    )
+    rows = wh.spark.read.parquet(late)
+    return rows.select("booking_id", "booking_timestamp", "experience_date")
 
 
 def _streamed(build: Callable[[DataFrame], DataFrame]) -> Query:

@@ -46,6 +46,11 @@ def choose(**equals: str | None) -> Column:
     return condition
 
 
+def distinct_where(df: DataFrame, condition: Column, column: str, name: str) -> DataFrame:
+    """One row: how many distinct values the rows meeting the condition hold."""
+    return df.filter(condition).agg(F.countDistinct(column).alias(name))
+
+
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
     """Share of each value, NULL included."""
     total = df.agg(row_count("n")).scalar()

@@ -112,7 +112,7 @@ MODEL_CHECKS = [*STAGING_CHECKS, *INTERMEDIATE_CHECKS, *MART_CHECKS, *FEATURE_CH
 # Each stage needs only the stages before it.
 SHARED_MODELS = (
     ("stg_experiences", "stg_availability", "stg_bookings", "stg_web_events"),
-    ("int_booking_details",),
+    ("int_booking_details", "int_orphaned_bookings"),
     ("experience_days", "int_customer_activity"),
     ("ml_rolling_features",),
 )

@@ -26,7 +26,7 @@ LAYERS = {
     ),
     "intermediate": (
         intermediate.MODELS,
-        (("int_booking_details",), ("experience_days", "int_customer_activity")),
+        (("int_booking_details", "int_orphaned_bookings"), ("experience_days", "int_customer_activity")),
         checks.INTERMEDIATE_CHECKS,
     ),
     "marts": (marts.MODELS, (), checks.MART_CHECKS),

@@ -726,7 +726,7 @@ def statements() -> dict[str, str]:
     }
     texts.update(_quality())
     texts.update(_forecasting())
-    texts.update(_streams())
+    texts.update(_other())
     return {name: with_models(text) for name, text in texts.items()}
 
 
@@ -892,13 +892,33 @@ def _forecasting() -> dict[str, str]:
     }
 
 
-def _streams() -> dict[str, str]:
-    """What a stream has let out once its input is used up: everything before the watermark."""
+def _other() -> dict[str, str]:
+    """Lookups, loads and streams.
+
+    A stream has let out everything before its watermark once its input is used up.
+    """
     closed = "(SELECT max(event_timestamp) - INTERVAL 1 DAY FROM raw_web_events)"
     prior = _PRIOR.replace("int_booking_details", "stg_bookings").replace(
         "experience_category AS category,", ""
     )
     return {
+        "active_experiences": """
+            SELECT experience_id, experience_name, city, category, capacity,
+                   round(rating, 4) AS rating, base_price
+            FROM dim_experience WHERE active_flag""",
+        "customer_ids": "SELECT customer_id FROM dim_customer",
+        "customer_cancellation_counts": """
+            SELECT c.customer_id, count(booking_id) AS cancellation_count
+            FROM dim_customer c LEFT JOIN fact_bookings b
+              ON c.customer_id = b.customer_id AND booking_status IN ('CANCELLED', 'REFUNDED')
+            GROUP BY 1""",
+        "purchase_sessions": """
+            SELECT count(DISTINCT session_id) AS purchase_sessions FROM fact_web_events
+            WHERE event_type = 'PURCHASE'""",
+        "next_event_number": """
+            SELECT coalesce(max(try_cast(substr(event_id, 4) AS BIGINT)), 1000000) + 1
+                   AS next_number
+            FROM raw_web_events""",
         "stream_prior_cancellations": f"""
             SELECT booking_id, customer_id, booking_status, prior_cancellations
             FROM ({prior})""",

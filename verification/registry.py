@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from excursio.functions.calendar import spine_over
 from excursio.functions.scalars import null_counts
 from excursio.operators.joins import split_by_parent
-from excursio.operators.measures import value_distribution
+from excursio.operators.measures import distinct_where, value_distribution
 from excursio.plans import business, checks, kpis, training
 from excursio.plans.marts import calendar_rows
 from excursio.schemas import RAW_SCHEMAS, columns
@@ -140,6 +140,28 @@ def queries() -> dict[str, Query]:
             lambda wh: value_distribution(wh.table("stg_bookings"), "booking_status"), 6
         ),
     }
+    lookups = {
+        "active_experiences": on(lambda wh: state.active_experiences(wh.table("dim_experience"))),
+        "customer_ids": on(lambda wh: state.customer_ids(wh.table("dim_customer"))),
+        "customer_cancellation_counts": on(
+            lambda wh: business.with_cancellation_counts(
+                wh, wh.table("dim_customer").select("customer_id")
+            )
+        ),
+        "purchase_sessions": on(
+            lambda wh: distinct_where(
+                wh.table("fact_web_events"),
+                F.col("event_type") == "PURCHASE",
+                "session_id",
+                "purchase_sessions",
+            )
+        ),
+        "next_event_number": on(
+            lambda wh: state.next_number(
+                wh.source("web_events"), "event_id", "EVT", state.EVENT_BASE
+            )
+        ),
+    }
     quality = {
         "booking_split_counts": on(checks.split_counts),
         "booking_split_conservation": on(checks.split_violation),
@@ -187,7 +209,8 @@ def queries() -> dict[str, Query]:
         ),
         "quarantined_bookings": on(_quarantined),
     }
-    return {**models, **dashboard, **rules, **quality, **forecasting, **streams, **loads}
+    groups = (models, dashboard, rules, lookups, quality, forecasting, streams, loads)
+    return {name: query for group in groups for name, query in group.items()}
 
 
 def _place(wh: Warehouse, label: str) -> str:

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.shared import write_shared
+from excursio.shared import shared_folder, write_shared
 
 Builder = Callable[["Warehouse"], DataFrame]
 
@@ -84,6 +84,7 @@ class Warehouse:
 
     def materialise_stages(self, stages: Iterable[Iterable[str]]) -> "Warehouse":
         """Write stage after stage; the models of one stage are written side by side."""
+        shared_folder(self.spark)  # settled before the writers start
         for stage in stages:
             pending = {name: self.table(name) for name in stage if name not in self.written}
             with ThreadPoolExecutor(max(1, len(pending))) as pool:

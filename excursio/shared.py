@@ -16,9 +16,16 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session; a temporary one only where none is set (tests)."""
+    """The folder named by the session.
+
+    Where none is set, a session whose tasks all run in this process gets a temporary folder;
+    on a cluster, where executors would each write to a disk of their own, that is an error.
+    """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="excursio-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.llm import chosenpath, fingerprint, langid, mixing, packing, sharding
+from excursio.llm import chosenpath, editcount, fingerprint, langid, mixing, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    edits = editcount.drawn_edits(F.col("text"), F.col("doc_id"))
+    return editcount.count_edited(docs, edits).select("doc_id", "counts.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -58,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mixing": op7_mixing,
         "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
+        "op10_token_counts": op10_token_counts,
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.llm import chosenpath, editcount, fingerprint, langid, mixing, packing, sharding
+from excursio.llm import chosenpath, editcount, fingerprint, impact, langid, mixing, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +24,22 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.learn(docs))
+    return judged.select("doc_id", "quality.*", (F.col("quality.score") >= quality.LEAST).alias("accepted"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return chosenpath.near_duplicates(docs).select("doc_id", "class_id", "links", "copies", "kept")
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return impact.best_matches(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -60,7 +71,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op3_fingerprint": op3_fingerprint,
+        "op4_quality": op4_quality,
         "op5_ngram_join": op5_ngram_join,
+        "op6_topk_search": op6_topk_search,
         "op7_mixing": op7_mixing,
         "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
@@ -69,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": mixing.SQL}
+    return {"op6_topk_search": impact.SQL, "op7_mixing": mixing.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.llm import chosenpath, editcount, fingerprint, impact, langid, mixing, packing, quality, sharding
+from excursio.llm import chosenpath, editcount, fingerprint, impact, langid, mixing, packing, quality, sharding, sitestyle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.*")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitestyle.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_html_extraction": op2_html_extraction,
         "op3_fingerprint": op3_fingerprint,
         "op4_quality": op4_quality,
         "op5_ngram_join": op5_ngram_join,

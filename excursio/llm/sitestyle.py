@@ -143,7 +143,8 @@ class _Page(HTMLParser):
                 return
 
     def _pop(self, k):
-        self._end_block()
+        if any(tag in BLOCKS or tag in NEVER for tag, *_ in self._open[k:]):
+            self._end_block()
         del self._open[k:]
 
     def handle_data(self, data):

@@ -16,7 +16,6 @@ SEASON_BY_MONTH = {
 WEEKEND_DEMAND = 1.35
 WEEKEND_PRICE = 1.15
 DEMAND_SCALE = 1.0
-DEMAND_SCALE_DAILY = 0.75
 BASE_CANCELLATION = 0.10
 RISK_FLOOR, RISK_CEILING = 0.02, 0.85
 TIME_SLOTS = ("09:00", "11:00", "13:00", "15:00", "17:00")
@@ -31,15 +30,6 @@ LEAD_TIME_BUCKETS = ("<3d", "3-14d", "14-60d", ">60d")
 BOOKING_WINDOWS = ("short", "medium", "long")
 NEW_CUSTOMER_DAYS = 90
 NEW_CUSTOMER_SEGMENTS = ("New", "Repeat")
-# Country of each city, language of each customer country.
-COUNTRY_BY_CITY = {
-    "Paris": "France", "Rome": "Italy", "London": "United Kingdom",
-    "Dubai": "United Arab Emirates", "Barcelona": "Spain",
-}
-LANGUAGE_BY_COUNTRY = {
-    "USA": "English", "UK": "English", "Germany": "German", "France": "French",
-    "India": "English", "UAE": "Arabic", "Other": "English",
-}
 
 
 def season(day: Column) -> Column:

@@ -23,7 +23,7 @@ def make_id(prefix: str, number: Column, width: int = 0) -> Column:
 
 def id_number(identifier: Column, prefix_length: int) -> Column:
     """Numeric suffix of an id, NULL when it is not a number."""
-    return F.substring(identifier, prefix_length + 1, 64).try_cast("bigint")
+    return F.substr(identifier, F.lit(prefix_length + 1)).try_cast("bigint")
 
 
 def lookup(values: Mapping, key: Column, default) -> Column:

@@ -1,11 +1,10 @@
 """Running totals and previous rows inside ordered groups, safe against one huge group.
 
-Small groups take the plain window: one shuffle on the key. When the largest group is beyond
-``max_group_rows`` the rows are instead range-partitioned on (key, order), which cuts a large
-group into consecutive chunks on several tasks. Each chunk is solved on its own and receives
-what the earlier chunks of the same key left behind. Ranges are contiguous, so only a chunk's
-first and last key can reach into another chunk: the hand-over holds at most two rows per
-chunk and is safe to broadcast whatever the data look like.
+Rows are range-partitioned on (key, order), which cuts a large group into consecutive chunks on
+several tasks. Each chunk is solved on its own and receives what the earlier chunks of the same
+key left behind. Ranges are contiguous, so only a chunk's first and last key can reach into
+another chunk: the hand-over holds at most two rows per chunk and is safe to broadcast whatever
+the data look like. The ranged rows are written once, which fixes their chunks.
 
 Rows with a NULL key belong to no group: totals are 0 and there is no previous row.
 """
@@ -19,39 +18,27 @@ from pyspark.sql import functions as F
 
 from excursio.shared import write_shared
 
-MAX_GROUP_ROWS = 5_000_000
 _CHUNK = "__chunk"
 _CARRY = "__carry"
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the biggest non-NULL group, counted with a map-side combine."""
-    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def running_total(
     df: DataFrame,
     key: str,
     order_by: Sequence[str],
     value: Column,
     name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """Add ``name``: sum of ``value`` over the key's earlier rows (current row excluded)."""
     df = df.withColumn(name, value)
-    if largest_group(df, key) <= max_group_rows:
-        before = F.sum(name).over(_earlier(_window(df, key, order_by)))
-        return df.withColumn(name, _known(key, F.coalesce(before, F.lit(0)), F.lit(0)))
-
     spread = _spread(df, key, order_by, chunks)
     totals = _edge_rows(spread, key).groupBy(key, _CHUNK).agg(F.sum(name).alias("total"))
     carried = totals.withColumn(
         _CARRY, F.sum("total").over(_earlier(Window.partitionBy(key).orderBy(_CHUNK)))
     ).select(key, _CHUNK, _CARRY)
     joined = spread.join(F.broadcast(carried), [key, _CHUNK], "left")
-    local = F.sum(name).over(_earlier(_window(joined, key, order_by, _CHUNK)))
+    local = F.sum(name).over(_earlier(_window(key, order_by)))
     total = F.coalesce(local, F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0))
     return joined.withColumn(name, _known(key, total, F.lit(0))).select(*df.columns)
 
@@ -61,17 +48,11 @@ def previous_values(
     key: str,
     order_by: Sequence[str],
     columns: dict[str, str],
-    max_group_rows: int = MAX_GROUP_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """Add ``new name -> column of the key's previous row`` for each entry of ``columns``."""
     row = F.struct(*[F.col(c).alias(new) for new, c in columns.items()])
     none = F.lit(None)
-    if largest_group(df, key) <= max_group_rows:
-        previous = _known(key, F.lag(row).over(_window(df, key, order_by)), none)
-        joined = df.withColumn(_CARRY, previous)
-        return joined.select(*df.columns, *[f"{_CARRY}.{new}" for new in columns])
-
     spread = _spread(df, key, order_by, chunks)
     last = F.max_by(row, F.struct(*order_by)).alias("last")
     tails = _edge_rows(spread, key).groupBy(key, _CHUNK).agg(last)
@@ -79,7 +60,7 @@ def previous_values(
         _CARRY, F.lag("last").over(Window.partitionBy(key).orderBy(_CHUNK))
     ).select(key, _CHUNK, _CARRY)
     joined = spread.join(F.broadcast(carried), [key, _CHUNK], "left")
-    local = F.lag(row).over(_window(joined, key, order_by, _CHUNK))
+    local = F.lag(row).over(_window(key, order_by))
     joined = joined.withColumn(_CARRY, _known(key, F.coalesce(local, F.col(_CARRY)), none))
     return joined.select(*df.columns, *[f"{_CARRY}.{new}" for new in columns])
 
@@ -98,10 +79,10 @@ def _edge_rows(spread: DataFrame, key: str) -> DataFrame:
     return spread.join(F.broadcast(keys), key, "left_semi")
 
 
-def _window(df: DataFrame, key: str, order_by: Sequence[str], *extra: str) -> WindowSpec:
+def _window(key: str, order_by: Sequence[str]) -> WindowSpec:
     # NULL keys form no group: scatter them by row content instead of sorting them together.
     scatter = F.when(F.col(key).isNull(), F.xxhash64(*order_by))
-    return Window.partitionBy(*extra, key, scatter).orderBy(*order_by)
+    return Window.partitionBy(_CHUNK, key, scatter).orderBy(*order_by)
 
 
 def _earlier(window: WindowSpec) -> WindowSpec:

@@ -144,7 +144,10 @@ def labelled(df: DataFrame, **labels: str) -> DataFrame:
 
 
 def counted(df: DataFrame, conditions: dict[str, Column], **labels: str) -> DataFrame:
-    """One row per condition (``rule``, ``violations``), all counted in one pass."""
+    """One row per condition (``rule``, ``violations``), all counted in one pass; none without any."""
+    if not conditions:
+        none = df.sparkSession.createDataFrame([], "rule string, violations bigint")
+        return labelled(none, **labels)
     counts = df.agg(*[F.count_if(c).alias(f"v{i}") for i, c in enumerate(conditions.values())])
     rows = [
         F.struct(F.lit(rule).alias("rule"), F.col(f"v{i}").alias("violations"))

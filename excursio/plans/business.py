@@ -12,7 +12,7 @@ from excursio.functions.calendar import days_between, minutes_between
 from excursio.functions.scalars import position_in
 from excursio.operators.joins import unmatched_between
 from excursio.operators.measures import count_where, ratio, row_count
-from excursio.operators.ordered import MAX_GROUP_ROWS, previous_values, running_total
+from excursio.operators.ordered import previous_values, running_total
 from excursio.schemas import FUNNEL_STAGES, LOST_STATUSES
 from excursio.warehouse import Warehouse
 
@@ -69,9 +69,7 @@ def expected_demand(wh: Warehouse, scale: float = rules.DEMAND_SCALE) -> DataFra
     )
 
 
-def prior_cancellations(
-    wh: Warehouse, max_group_rows: int = MAX_GROUP_ROWS, chunks: int | None = None
-) -> DataFrame:
+def prior_cancellations(wh: Warehouse, chunks: int | None = None) -> DataFrame:
     """Valid bookings with the customer's number of earlier cancelled or refunded ones."""
     bookings = wh.table("int_booking_details").select(
         "booking_id",
@@ -83,7 +81,6 @@ def prior_cancellations(
         F.col("experience_category").alias("category"),
         "booking_status",
     )
-    bookings = wh.settled(bookings, "bookings-by-customer", "int_booking_details")
     lost = F.coalesce(F.col("booking_status").isin(*LOST_STATUSES), F.lit(False)).cast("bigint")
     return running_total(
         bookings,
@@ -91,7 +88,6 @@ def prior_cancellations(
         ["booking_timestamp", "booking_id"],
         lost,
         "prior_cancellations",
-        max_group_rows,
         chunks,
     )
 
@@ -225,9 +221,7 @@ def browsing_session_length(wh: Warehouse) -> DataFrame:
     return browsing.agg(row_count("sessions"), F.avg("events").alias("mean_events"))
 
 
-def session_steps(
-    wh: Warehouse, max_group_rows: int = MAX_GROUP_ROWS, chunks: int | None = None
-) -> DataFrame:
+def session_steps(wh: Warehouse, chunks: int | None = None) -> DataFrame:
     """Events with the time and stage of the event before in the session."""
     events = wh.table("stg_web_events").select(
         "event_id",
@@ -237,21 +231,20 @@ def session_steps(
         position_in(FUNNEL_STAGES, F.col("event_type")).alias("stage"),
     )
     return previous_values(
-        wh.settled(events, "session-events", "stg_web_events"),
+        events,
         "session_id",
         ["event_timestamp", "event_id"],
         {"previous_timestamp": "event_timestamp", "previous_stage": "stage"},
-        max_group_rows,
         chunks,
     )
 
 
-def session_order_violations(wh: Warehouse, **limits) -> DataFrame:
+def session_order_violations(wh: Warehouse, chunks: int | None = None) -> DataFrame:
     """Events that do not come strictly later than, or fall behind the stage of, the previous."""
     not_later = F.col("event_timestamp") <= F.col("previous_timestamp")
     backwards = F.col("stage") < F.col("previous_stage")
     flags = {"not_later": not_later, "stage_went_back": backwards}
-    steps = session_steps(wh, **limits).select(
+    steps = session_steps(wh, chunks).select(
         "session_id",
         "event_id",
         "event_timestamp",
@@ -261,11 +254,11 @@ def session_order_violations(wh: Warehouse, **limits) -> DataFrame:
     return steps.filter("not_later or stage_went_back")
 
 
-def session_gaps(wh: Warehouse, **limits) -> DataFrame:
+def session_gaps(wh: Warehouse, chunks: int | None = None) -> DataFrame:
     """Minutes since the previous event of the session."""
     gap = minutes_between("previous_timestamp", "event_timestamp")
     return (
-        session_steps(wh, **limits)
+        session_steps(wh, chunks)
         .filter("previous_timestamp is not null")
         .select("session_id", "event_id", "event_type", gap.alias("gap_minutes"))
     )

@@ -203,7 +203,7 @@ def test_sessions(market):
         ("EVT4", False, True),
         ("EVT7", True, False),
     ]
-    ranged = business.session_order_violations(market, max_group_rows=1, chunks=3)
+    ranged = business.session_order_violations(market, chunks=3)
     assert as_dicts(ranged, "event_id") == violations
     summary = {r["session_id"]: r for r in business.session_summary(market).collect()}
     assert (summary["S1"]["deepest_stage"], summary["S1"]["converted"]) == (6, True)

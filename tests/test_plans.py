@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,7 +106,8 @@ def test_written_copies_live_in_the_shared_folder(spark):
 
 def test_every_query_has_sql_except_model_training_and_approximations():
     without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"model_leaderboard", "champion_gate", "stream_daily_stages_approx"}
+    operators = {q for q in without if q == "pipeline" or re.match(r"op\d+_", q)}
+    assert without - operators == {"model_leaderboard", "champion_gate"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -114,10 +116,10 @@ def test_entry_runs(spark):
     assert rows.columns == ["city", "revenue"] and rows.count() > 0
 
 
-def test_small_and_ranged_paths_agree_on_real_rows(star):
+def test_number_of_ranges_does_not_matter_on_real_rows(star):
     whole = business.prior_cancellations(star)
-    ranged = business.prior_cancellations(star, max_group_rows=5, chunks=6)
+    ranged = business.prior_cancellations(star, chunks=6)
     assert whole.exceptAll(ranged).count() == ranged.exceptAll(whole).count() == 0
     steps = business.session_steps(star)
-    split = business.session_steps(star, max_group_rows=1, chunks=6)
+    split = business.session_steps(star, chunks=6)
     assert steps.exceptAll(split).count() == split.exceptAll(steps).count() == 0

@@ -897,7 +897,6 @@ def _other() -> dict[str, str]:
 
     A stream has let out everything before its watermark once its input is used up.
     """
-    closed = "(SELECT max(event_timestamp) - INTERVAL 1 DAY FROM raw_web_events)"
     prior = _PRIOR.replace("int_booking_details", "stg_bookings").replace(
         "experience_category AS category,", ""
     )
@@ -941,20 +940,23 @@ def _other() -> dict[str, str]:
         "stream_daily_stages": """
             SELECT event_timestamp::DATE AS day, event_type,
                    count(DISTINCT session_id) AS sessions
-            FROM raw_web_events GROUP BY 1, 2
-            HAVING event_timestamp::DATE + INTERVAL 1 DAY
-                   <= (SELECT max(event_timestamp)::DATE - INTERVAL 1 DAY FROM raw_web_events)""",
+            FROM raw_web_events WHERE session_id IS NOT NULL GROUP BY 1, 2""",
+        "stream_daily_stages_approx": """
+            SELECT event_timestamp::DATE AS day, event_type,
+                   count(DISTINCT session_id) AS sessions, true AS near
+            FROM raw_web_events WHERE session_id IS NOT NULL GROUP BY 1, 2""",
         "stream_sessions": f"""
             SELECT customer_id, count(*) AS events, min(event_timestamp) AS first_event_at,
                    max(event_timestamp) AS last_event_at,
                    max({_STAGE})::INT AS deepest_stage,
-                   count(*) FILTER (event_type = 'PURCHASE') > 0 AS converted
+                   count(*) FILTER (event_type = 'PURCHASE') > 0 AS converted,
+                   max(event_timestamp) + INTERVAL 30 MINUTE
+                       >= (SELECT max(event_timestamp) FROM raw_web_events) AS is_open
             FROM (SELECT *, sum(starts) OVER (PARTITION BY customer_id ORDER BY event_timestamp)
                                 AS visit
                   FROM (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER (
                                            PARTITION BY customer_id ORDER BY event_timestamp)
                                        <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts
                         FROM raw_web_events))
-            GROUP BY customer_id, visit
-            HAVING max(event_timestamp) + INTERVAL 30 MINUTE <= {closed}""",
+            GROUP BY customer_id, visit""",
     }

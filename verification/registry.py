@@ -193,9 +193,11 @@ def queries() -> dict[str, Query]:
         "stream_dedup": _streamed(
             lambda events: stream_events.deduplicated(events, "event_id", "event_timestamp")
         ),
-        "stream_daily_stages": _streamed(stream_events.daily_stage_sessions),
-        "stream_daily_stages_approx": _streamed(stream_events.daily_stage_sessions_approx),
-        "stream_sessions": _streamed(stream_events.activity_sessions),
+        "stream_daily_stages": _stored(
+            stream_events.stage_days, stream_events.daily_stage_sessions
+        ),
+        "stream_daily_stages_approx": _approximate_stages,
+        "stream_sessions": _stored(stream_events.visits, stream_events.activity_sessions),
     }
     streams.update(
         stream_prior_cancellations=on(_tracked_cancellations),
@@ -232,21 +234,26 @@ def _quarantined(wh: Warehouse) -> DataFrame:
     return split_by_parent(bookings, known, "experience_id", "unknown experience")[1]
 
 
+def _in_batches(wh: Warehouse, df: DataFrame, label: str, files: int = 4) -> DataFrame:
+    """A table as a stream of several batches, dealt out by a hash: rows come in no order."""
+    place = _place(wh, label)
+    df.repartition(files).write.parquet(place)
+    reader = wh.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(place)
+
+
 def _booking_stream(wh: Warehouse) -> DataFrame:
     """Deduplicated bookings as a stream over the files they were written to."""
-    place = _place(wh, "bookings")
-    bookings = wh.table("stg_bookings")
-    bookings.write.parquet(place)
-    return wh.spark.readStream.schema(bookings.schema).parquet(place)
+    return _in_batches(wh, wh.table("stg_bookings"), "bookings")
 
 
 def _tracked_cancellations(wh: Warehouse) -> DataFrame:
     place = _place(wh, "tracked")
     out = f"{place}/rows"
     stream_events.track_cancellations(
-        _booking_stream(wh), out, f"{place}/counts", f"{place}/checkpoint"
+        _booking_stream(wh), out, f"{place}/totals", f"{place}/checkpoint"
     )
-    rows = wh.spark.read.parquet(out)
+    rows = stream_events.tracked_cancellations(wh.spark, out)
     return rows.select("booking_id", "customer_id", "booking_status", "prior_cancellations")
 
 
@@ -281,6 +288,34 @@ def _streamed(build: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def _stored(
+    reduce: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame]
+) -> Query:
+    """Store the clickstream's batches, reduced, and merge what is stored."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        wh = open_warehouse(configure(spark), folder)
+        place = _place(wh, "stored")
+        stream = _in_batches(wh, wh.source("web_events"), "events")
+        stream_events.store_batches(stream, f"{place}/rows", f"{place}/checkpoint", reduce)
+        return merge(spark.read.parquet(f"{place}/rows"))
+
+    return query
+
+
+def _approximate_stages(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every approximate count is within five per cent of the exact one."""
+    guess = _stored(stream_events.stage_sketches, stream_events.daily_stage_sessions_approx)
+    exact = stream_events.daily_stage_sessions(
+        stream_events.stage_days(open_warehouse(configure(spark), folder).source("web_events"))
+    )
+    both = exact.join(
+        guess(spark, folder).withColumnRenamed("sessions", "about"), ["day", "event_type"], "full"
+    )
+    near = F.abs(F.col("sessions") - F.col("about")) <= F.greatest(F.col("sessions") * 0.05, F.lit(1))
+    return both.select("day", "event_type", "sessions", F.coalesce(near, F.lit(False)).alias("near"))
+
+
 def _training_rows(wh: Warehouse) -> DataFrame:
     wh.materialise("ml_rolling_features")
     return training.drop_short_history(training.load_features(wh))

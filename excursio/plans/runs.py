@@ -105,7 +105,10 @@ def run_backfill(
     settings: Settings = Settings(),
     tables: Sequence[str] = DAILY_TABLES,
 ) -> DataFrame:
-    """Load the days [start, end) in one job per table, then rebuild once."""
+    """Load the days [start, end) in one job per table, then rebuild once.
+
+    Files that a daily run has loaded are left out.
+    """
     for table in tables:
         backfill(spark, lake, table, start, end)
     last = end - dt.timedelta(days=1)

@@ -36,3 +36,19 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(written: DataFrame) -> None:
+    """Delete what ``write_shared`` has written, once nothing reads it any more.
+
+    Only folders that lie directly in the shared folder are deleted.
+    """
+    spark = written.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    shared = hadoop.Path(shared_folder(spark))
+    files = shared.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = files.makeQualified(shared)
+    for folder in {file.rsplit("/", 1)[0] for file in written.inputFiles()}:
+        path = files.makeQualified(hadoop.Path(folder))
+        if path.getParent().equals(root):
+            files.delete(path, True)

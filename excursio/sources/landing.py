@@ -3,7 +3,8 @@
 Layout: ``<landing>/<table>/dt=YYYY-MM-DD/*.csv``. Loaded rows go to ``<lake>/raw/<table>``,
 rejected ones to ``<lake>/quarantine/<table>``, both partitioned by ``dt`` and ``load``. Every
 load overwrites only its own ``load`` partitions, so a batch that is retried after a failure
-replaces its rows instead of repeating them.
+replaces its rows instead of repeating them. ``<lake>/loads/<table>`` lists the files of every
+load; a file that another load has taken is left out, whichever way it comes again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +21,14 @@ from excursio.operators.measures import row_count
 from excursio.operators.quality import CheckFailed
 from excursio.plans.checks import gate_batch, gate_rules
 from excursio.schemas import RAW_SCHEMAS, columns
+from excursio.shared import release, write_shared
 from excursio.sources.state import read_or_none
 
 # Texts that mean NULL in a landing file.
 NULL_TOKENS = ("", "NULL", "null")
 _LINE = "_line"
 _REASONS = "_reasons"
+_FILE = "_file"
 HALT, QUARANTINE = "halt", "quarantine"
 
 
@@ -45,6 +48,9 @@ class Lake:
     def quarantine(self, table: str) -> str:
         return f"{self.lake}/quarantine/{table}"
 
+    def loads(self, table: str) -> str:
+        return f"{self.lake}/loads/{table}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.lake}/checkpoints/{name}"
 
@@ -72,6 +78,8 @@ _CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": _LINE,
+    # The header must name the contract's columns in their order, or the load stops.
+    "enforceSchema": "false",
 }
 
 
@@ -124,12 +132,12 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def bulk_load(spark: SparkSession, lake: Lake, table: str, *paths: str) -> None:
     """Full load of one table from flat files; replaces what was there."""
-    parsed = parse(read_csv(spark, table, *paths), table).persist()
+    parsed = write_shared(parse(read_csv(spark, table, *paths), table), f"bulk-{table}")
     try:
         accepted(parsed).write.mode("overwrite").parquet(lake.raw(table))
         rejected(parsed).write.mode("overwrite").parquet(lake.quarantine(table))
     finally:
-        parsed.unpersist()
+        release(parsed)
 
 
 def read_raw(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
@@ -139,14 +147,28 @@ def read_raw(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
 
 
 def write_days(df: DataFrame, path: str) -> None:
-    """Write ``dt``/``load`` partitions, replacing only the ones present in ``df``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write ``dt``/``load`` partitions, replacing only the ones present in ``df``.
+
+    Rows of a day are gathered first, and large days split again by size, so the number of files
+    follows the data and not tasks times days.
+    """
+    writer = df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt", "load").parquet(path)
 
 
 def _store(parsed: DataFrame, lake: Lake, table: str, load: str, on_violation: str) -> None:
-    """Gate one batch, then write the good rows and the rejected ones."""
-    batch = parsed.withColumn("load", F.lit(load)).persist()
+    """Gate one batch, then write the good rows and the rejected ones.
+
+    Files that belong to another load are left out. The batch's own are listed before its rows
+    are written: if it breaks off there, only its own retry can bring them.
+    """
+    listed = read_or_none(parsed.sparkSession, lake.loads(table))
+    if listed is not None:
+        others = listed.filter(F.col("load") != load).select(_FILE)
+        parsed = parsed.join(others, _FILE, "left_anti")
+    batch = write_shared(parsed.withColumn("load", F.lit(load)), f"load-{table}")
+    files = batch.select(_FILE).distinct()
+    batch = batch.drop(_FILE)
     try:
         if on_violation == HALT:
             found = gate_batch(table, accepted(batch)).filter("violations > 0").collect()
@@ -156,16 +178,25 @@ def _store(parsed: DataFrame, lake: Lake, table: str, load: str, on_violation: s
                 )
         else:
             batch = _with_gate_reasons(batch, table)
+        files.write.mode("overwrite").parquet(f"{lake.loads(table)}/load={load}")
         write_days(accepted(batch), lake.raw(table))
         write_days(rejected(batch), lake.quarantine(table))
     finally:
-        batch.unpersist()
+        release(batch)
 
 
 def _with_gate_reasons(batch: DataFrame, table: str) -> DataFrame:
     broken = [F.when(c, F.lit(f"rule: {rule}")) for rule, c in gate_rules(table).items()]
+    if table == "bookings":
+        # Among repeats the first readable row stays, the same one that deduplication would keep.
+        refused = F.size(_REASONS) > 0
+        first = Window.partitionBy("booking_id").orderBy(
+            refused, F.asc_nulls_last("booking_timestamp"), *columns(table)
+        )
+        batch = batch.withColumn("_place", F.row_number().over(first))
+        broken.append(F.when((F.col("_place") > 1) & ~refused, F.lit("rule: unique booking_id")))
     reasons = F.concat(F.col(_REASONS), F.array_compact(F.array(*broken)))
-    return batch.withColumn(_REASONS, reasons)
+    return batch.withColumn(_REASONS, reasons).drop("_place")
 
 
 def ingest(
@@ -178,8 +209,9 @@ def ingest(
 ) -> None:
     """Load the files not loaded before, of one day or of all days, then stop.
 
-    The stream's checkpoint is the load history. A batch that fails the gate is not recorded,
-    so its files are read again once they have been repaired.
+    The list of loaded files is the load history; the stream's checkpoint saves reading them
+    again. A batch that fails the gate is recorded in neither, so its files are read again once
+    they have been repaired.
     """
     name = f"{table}/{day.isoformat() if day else 'all'}"
     path = f"{lake.files(table)}/dt={day.isoformat()}" if day else lake.files(table)
@@ -187,7 +219,7 @@ def ingest(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = reader.options(**_CSV_OPTIONS).csv(path)
-    parsed = parse(lines, table)
+    parsed = parse(_with_file(lines), table)
     if day:
         parsed = parsed.withColumn("dt", F.lit(day))
 
@@ -231,7 +263,12 @@ def backfill(
     """Load all day folders of [start, end) in one job; other days are pruned, not read."""
     lines = read_csv(spark, table, lake.files(table), with_day=True)
     wanted = lines.filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
-    _store(parse(wanted, table), lake, table, "backfill", on_violation)
+    _store(parse(_with_file(wanted), table), lake, table, "backfill", on_violation)
+
+
+def _with_file(lines: DataFrame) -> DataFrame:
+    """Add the file that each line is from."""
+    return lines.withColumn(_FILE, F.col("_metadata.file_path"))
 
 
 def write_landing(df: DataFrame, lake: Lake, table: str, day_column: str) -> None:

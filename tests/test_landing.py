@@ -11,7 +11,7 @@ from excursio.operators.quality import CheckFailed
 from excursio.plans import runs
 from excursio.sources import landing, state
 from excursio.sources.landing import Lake
-from tests.conftest import booking, event, as_dicts
+from tests.conftest import as_dicts, at, booking, event
 
 DAY1, DAY2 = dt.date(2026, 1, 2), dt.date(2026, 1, 3)
 SETTINGS = runs.Settings(
@@ -243,3 +243,53 @@ def test_backfill_reads_only_its_days(spark, stocked):
     lines = landing.read_csv(spark, "bookings", stocked.files("bookings"), with_day=True)
     plan = lines.filter(F.col("dt") == F.lit(DAY1))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_one_lake_loads_a_file_once_whichever_way_it_comes(spark, lake):
+    end = DAY2 + dt.timedelta(days=1)
+    put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1))
+    landing.ingest(spark, lake, "availability", DAY1)
+    put(lake, "availability", DAY2, AVAILABILITY + slots(DAY2))
+    landing.ingest(spark, lake, "availability")
+    assert landing.read_raw(spark, lake, "availability").count() == 4
+    for _ in range(2):
+        landing.backfill(spark, lake, "availability", DAY1, end)
+        landing.ingest(spark, lake, "availability", DAY2)
+        assert landing.read_raw(spark, lake, "availability").count() == 4
+    put(lake, "availability", DAY2, AVAILABILITY + slots(DAY2, 3, "EXP000002"), "late.csv")
+    landing.backfill(spark, lake, "availability", DAY2, end)
+    landing.ingest(spark, lake, "availability")
+    found = landing.load_reconciliation(spark, lake, "availability").orderBy("dt").collect()
+    assert [(r["loaded_rows"], r["complete"]) for r in found] == [(2, True), (5, True)]
+
+
+def test_a_header_in_another_order_stops_the_load(spark, lake):
+    swapped = AVAILABILITY.replace("experience_id,experience_date", "experience_date,experience_id")
+    put(lake, "availability", DAY1, swapped + f"{DAY1},EXP000001,09:00,10,6,50.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.ingest(spark, lake, "availability", DAY1)
+    assert landing.read_raw(spark, lake, "availability") is None
+
+
+def test_every_table_can_be_ingested(spark, lake):
+    from excursio.schemas import RAW_SCHEMAS, columns
+
+    for table in RAW_SCHEMAS:
+        if table in ("bookings", "web_events", "availability"):
+            continue
+        names = columns(table)
+        put(lake, table, DAY1, ",".join(names) + "\n" + ",".join(["NULL"] * len(names)) + "\n")
+        landing.ingest(spark, lake, table, DAY1)
+        assert landing.read_raw(spark, lake, table).count() == 1
+
+
+def test_quarantine_takes_repeated_bookings(spark, lake):
+    rows = reordered(
+        [booking(1, "C1", "EXP000001", at("2026-01-01", f"1{k}:00"), "2026-01-02") for k in (1, 0)],
+        "bookings",
+    )
+    put(lake, "bookings", DAY1, csv_of(rows))
+    landing.ingest(spark, lake, "bookings", DAY1, on_violation=landing.QUARANTINE)
+    kept = landing.read_raw(spark, lake, "bookings").collect()
+    assert [r["booking_timestamp"] for r in kept] == [at("2026-01-01", "10:00")]
+    assert spark.read.parquet(lake.quarantine("bookings")).first()["reason"] == "rule: unique booking_id"

@@ -11,13 +11,14 @@ neighbours. Their sums are renewed from the leaf to the root; the rest of the do
 
 from __future__ import annotations
 
-import numpy as np
+import hashlib
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from excursio.llm import packing
+from excursio.llm import packing, workers
 
 LEAF = 512
 #: A leaf that edits have made longer than this is cut up again, with the whole tree.
@@ -173,8 +174,7 @@ def count_edited(docs: DataFrame, edits: Column, files: tuple | None = None, int
     is empty, a null array no edits. Each row is counted by itself, repeated rows too; other
     columns are passed on, one named ``into`` is replaced.
     """
-    import hashlib
-
+    workers.ready(docs.sparkSession)
     files = files or packing.public_files()
 
     @F.pandas_udf(_COUNTS)

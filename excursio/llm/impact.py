@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from excursio.llm import workers
+
 K = 5
 CANDIDATES = 8192
 QUERIES = 1024
@@ -142,6 +144,7 @@ def best_matches(
     Shorter vectors are filled up with zeros. Rows that share an id are one vector: the smallest in the order
     of arrays. An empty table gives an empty result. Other columns aren't used.
     """
+    workers.ready(vectors.sparkSession)
     usable = vectors.select("vec_id", integers(F.col("embedding")).alias("v"), F.coalesce(queries, F.lit(False)).alias("query"))
     usable = usable.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     usable = usable.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("query").alias("query"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from excursio.llm import textbytes
+from excursio.llm import textbytes, workers
 
 #: Prices are kept in these parts of a bit.
 PARTS = 1024
@@ -103,7 +103,7 @@ def learn(
     null language or text teach nothing. The order is the highest, up to ``max_order``, whose
     table of prices stays within ``table_bytes``.
     """
-    spark = docs.sparkSession
+    workers.ready(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
@@ -230,6 +230,7 @@ def identify(docs: DataFrame, model: LanguageModel, into: str = "language") -> D
     )
     if not model.languages:
         return docs.withColumn(into, undetermined)
+    workers.ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(_RESULT)

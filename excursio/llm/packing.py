@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from excursio.llm import textbytes
+from excursio.llm import textbytes, workers
 from excursio.shared import write_shared
 
 SEQUENCE = 1024
@@ -112,6 +112,7 @@ def pieces(docs: DataFrame, files: tuple | None = None, sequence: int = SEQUENCE
     ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and ``deal``, a number to deal pieces out by.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, deal long"
+    workers.ready(docs.sparkSession)
     # A null id becomes NaN among integers of a batch, so ids travel as text.
     plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return plain.mapInPandas(_pieces(files or public_files(), sequence), schema)
@@ -184,6 +185,7 @@ def pack(
     each sequence. Full pieces are sequences of their own. Repeated rows are examples of their own; an
     empty table gives an empty result.
     """
+    workers.ready(examples.sparkSession)
     if "loss" not in examples.columns:
         examples = examples.withColumn("loss", F.col("length"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "loss", "deal"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from excursio.llm import textbytes
+from excursio.llm import textbytes, workers
 
 #: Votes; a document's votes are one character for each labeller.
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -263,6 +263,7 @@ def learn(docs: DataFrame, sample_rows: int = 4000) -> QualityModel:
     Only counts of vote patterns (at most ``3 ** labellers``) and the sample's hashed features come to the
     driver. The sample is drawn by a hash of the text, so copies don't weigh more in it.
     """
+    workers.ready(docs.sparkSession)
     voted = _voted(docs.select("text"))
     rows = voted.groupBy("votes").count().collect()
     if not rows:
@@ -313,12 +314,13 @@ def judge(docs: DataFrame, model: QualityModel, into: str = "quality") -> DataFr
     fewer than eight words, get no votes; they are scored all the same. Repeated rows are scored alike; other
     columns are passed on, one named ``into`` is replaced.
     """
+    workers.ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(_RESULT)
     def scored(text: pd.Series) -> pd.DataFrame:
         frozen, texts, out = shared.value, text.tolist(), []
-        for part in textbytes.slices(texts, 1 << 20):
+        for part in textbytes.slices(texts):
             # Features of at most some hundred texts at once: a row has as many columns as buckets.
             own = texts[part]
             for at in range(0, len(own), 500):

@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from excursio.llm import workers
 from excursio.shared import write_shared
 
 #: Elements without content, elements that never hold the article, and those that do.
@@ -239,6 +240,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
     Equal pages of a host count once. Only hashes are counted; what comes together for a host is one row
     for each of its style nodes.
     """
+    workers.ready(pages.sparkSession)
     observed = pages.where(F.col("host").isNotNull()).select("host", "html").mapInPandas(
         _observed, "host string, page long, facts array<struct<style:string,kind:int,value:long>>"
     )
@@ -287,6 +289,7 @@ def extract(pages: DataFrame) -> DataFrame:
     a host (null or odd addresses) are judged by their own elements only. Repeated rows are kept;
     an empty table gives an empty result; other columns aren't used.
     """
+    workers.ready(pages.sparkSession)
     held = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     trees = write_shared(style_trees(held), "trees")
     texts = held.join(trees, "host", "left").select(F.col("page_id").cast("string").alias("page_id"), "url", "html", "weak").mapInPandas(

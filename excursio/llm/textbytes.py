@@ -117,7 +117,7 @@ def shingles(texts: Iterable[str | None], width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def slices(texts: list, limit: int = 1 << 21) -> Iterable[slice]:
+def slices(texts: list, limit: int = 1 << 19) -> Iterable[slice]:
     """Runs of texts of about ``limit`` characters together, so that arrays over them stay small."""
     begin, size = 0, 0
     for k, text in enumerate(texts):

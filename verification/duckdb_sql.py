@@ -932,6 +932,10 @@ def _other() -> dict[str, str]:
             SELECT event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
                    0::BIGINT AS rejected_rows, true AS complete
             FROM raw_web_events GROUP BY 1""",
+        "repeated_loads": """
+            SELECT event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
+                   0::BIGINT AS rejected_rows, true AS complete
+            FROM raw_web_events GROUP BY 1""",
         "quarantined_bookings": """
             SELECT booking_id, experience_id, 'unknown experience' AS quarantine_reason
             FROM stg_bookings

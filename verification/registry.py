@@ -23,7 +23,14 @@ from excursio.plans.marts import calendar_rows
 from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
 from excursio.sources import state
-from excursio.sources.landing import Lake, ingest, load_reconciliation, read_raw, write_landing
+from excursio.sources.landing import (
+    Lake,
+    backfill,
+    ingest,
+    load_reconciliation,
+    read_raw,
+    write_landing,
+)
 from excursio.shared import shared_folder
 from excursio.sources.star_adapter import event_stream, open_warehouse
 from excursio.streaming import events as stream_events
@@ -209,6 +216,7 @@ def queries() -> dict[str, Query]:
         "load_reconciliation": on(
             lambda wh: load_reconciliation(wh.spark, _landed(wh), "web_events")
         ),
+        "repeated_loads": on(_loaded_again),
         "quarantined_bookings": on(_quarantined),
     }
     groups = (models, dashboard, rules, lookups, quality, forecasting, streams, loads)
@@ -228,6 +236,22 @@ def _landed(wh: Warehouse) -> Lake:
     return lake
 
 
+def _loaded_again(wh: Warehouse) -> DataFrame:
+    """The same files by day, with all days and by backfill: each counts once."""
+    place = _place(wh, "landing")
+    lake = Lake(f"{place}/files", f"{place}/lake")
+    events = wh.source("web_events")
+    write_landing(events, lake, "web_events", "event_timestamp")
+    first, last = events.agg(
+        F.to_date(F.min("event_timestamp")), F.to_date(F.max("event_timestamp"))
+    ).first()
+    ingest(wh.spark, lake, "web_events", first)
+    ingest(wh.spark, lake, "web_events")
+    backfill(wh.spark, lake, "web_events", first, last + dt.timedelta(days=1))
+    ingest(wh.spark, lake, "web_events", last)
+    return load_reconciliation(wh.spark, lake, "web_events")
+
+
 def _quarantined(wh: Warehouse) -> DataFrame:
     bookings = wh.table("stg_bookings").select("booking_id", "experience_id")
     known = wh.table("stg_experiences")

@@ -8,7 +8,8 @@ The join repeats independent runs. In a run every set chooses tokens by a hash t
 share, on average ``rate / threshold`` of them whatever its size, and goes into the bucket of
 each. Two sets with the wanted similarity share at least ``rate`` chosen tokens on average, so
 they miss each other in a run with probability ``exp(-rate)`` at most, and in all ``runs`` with
-``exp(-rate * runs)`` (6e-6 by default). Buckets that stay large are split again on newly
+``exp(-rate * runs)`` (6e-6 by default). A set whose other buckets already find every partner of it, up to a chance of
+``MISS``, leaves its large buckets. Those that stay large are split again on newly
 chosen tokens; a path is the sequence of tokens. Splitting ends when a bucket is small, when most
 of it stays together however it is split (then its members are alike), or after the last level.
 
@@ -28,8 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from excursio.llm import textbytes, workers
 from excursio.shared import write_shared
-from excursio.llm import textbytes
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -42,6 +43,10 @@ LEVELS = 3
 SMALL = 32
 #: Sets in a block of a large bucket.
 BLOCK = 512
+#: Members of a bucket are alike if so many of the tokens they choose lead at least half of them on.
+ALIKE = 0.75
+#: A set may miss a partner with this chance, if it leaves the large buckets.
+MISS = 1e-4
 _RUN_MASK = 15
 
 
@@ -101,33 +106,68 @@ def _crowded(postings: DataFrame, by: list[str]) -> DataFrame:
     return postings.join(counts, by)
 
 
+def _missed(chosen: Column, large: Column, threshold: float) -> Column:
+    """The chance at most that a set misses a partner in all its buckets but the large ones.
+
+    Of the tokens that a set has chosen, ``large`` lead to large buckets. A partner shares at least
+    ``threshold`` of all its tokens, so of the others at least ``(threshold - part) / (1 - part)``, and
+    chooses a shared token, too, with a chance of ``threshold`` at least.
+    """
+    part = large / chosen
+    met = F.when(part < threshold, (threshold - part) / (1 - part) * threshold).otherwise(0.0)
+    return F.pow(1 - met, chosen - large)
+
+
 def _leaves(sets: DataFrame, texts: DataFrame, options: dict) -> DataFrame:
     """Buckets at the ends of their paths: ``path``, ``rep``, ``n``, ``blocked``."""
+    threshold = options["threshold"]
     found = write_shared(_crowded(sets.select("rep", F.explode("tokens").alias("path")), ["path"]), "buckets")
     small = F.col("n") <= SMALL
     leaves = [found.where(small).withColumn("blocked", F.lit(False))]
-    large = found.where(~small)
+    held = found.where(~small).groupBy("rep").agg(F.count(F.lit(1)).alias("held"))
+    held = held.join(sets.select("rep", F.size("tokens").alias("chosen")), "rep")
+    held = held.where(_missed(F.col("chosen"), F.col("held"), threshold) > MISS).select("rep", "held")
+    large = _crowded(found.where(~small).drop("n").join(held, "rep"), ["path"])
+    large = write_shared(large, "buckets")
+    leaves.append(large.where(small).withColumn("blocked", F.lit(False)))
+    large = large.where(~small)
     deep = texts.join(large.select("rep").distinct(), "rep").mapInPandas(
-        _deep_choices(options["width"], options["threshold"], options["runs"], DEEP_RATE, LEVELS),
+        _deep_choices(options["width"], threshold, options["runs"], DEEP_RATE, LEVELS),
         "rep long" + "".join(f", tokens{k} array<long>" for k in range(1, LEVELS)),
     )
     deep = write_shared(deep, "choices")
     for level in range(1, LEVELS):
         run = F.col("path").bitwiseAND(_RUN_MASK)
-        token = F.explode(F.filter(f"tokens{level}", lambda t: t.bitwiseAND(_RUN_MASK) == run))
-        child = F.xxhash64("path", "token").bitwiseAND(-1 - _RUN_MASK).bitwiseOR(run)
-        children = large.join(deep, "rep").select("path", "n", "rep", token.alias("token"))
-        children = children.select(F.col("path").alias("parent"), F.col("n").alias("above"), "rep", child.alias("path"))
+        tokens = F.filter(f"tokens{level}", lambda t: t.bitwiseAND(_RUN_MASK) == run)
+        children = large.join(deep, "rep").select("path", "n", "rep", "held", tokens.alias("tokens"))
+        children = children.select(
+            F.col("path").alias("parent"),
+            F.col("n").alias("above"),
+            "rep",
+            "held",
+            F.size("tokens").alias("chosen"),
+            F.explode("tokens").alias("token"),
+        )
+        child = F.xxhash64("parent", "token").bitwiseAND(-1 - _RUN_MASK)
+        child = child.bitwiseOR(F.col("parent").bitwiseAND(_RUN_MASK))
+        children = children.select("parent", "above", "rep", "held", "chosen", child.alias("path"))
         kinds = children.groupBy("parent", "above", "path").agg(F.count(F.lit(1)).alias("n"))
         kept_together = F.sum(F.when(F.col("n") * 2 >= F.col("above"), F.col("n")).otherwise(0))
-        alike = kinds.groupBy("parent").agg((kept_together * 2 >= F.sum("n")).alias("alike"))
+        alike = kinds.groupBy("parent").agg((kept_together >= F.sum("n") * ALIKE).alias("alike"))
         verdicts = write_shared(kinds.join(alike, "parent").where("alike or n > 1"), "verdicts")
         together = verdicts.where("alike").select(F.col("parent").alias("path")).distinct()
         leaves.append(large.join(together, "path").withColumn("blocked", F.lit(True)))
         parted = verdicts.where("not alike").select("path", "n")
-        below = write_shared(children.drop("above", "parent").join(parted, "path"), "buckets")
+        below = write_shared(children.drop("above").join(parted, "path"), "buckets")
         leaves.append(below.where(small).withColumn("blocked", F.lit(False)))
-        large = below.where(~small)
+        # Partners share several of the large buckets of the first level, and may be missed in each.
+        often = F.greatest(F.col("held") * threshold**2, F.lit(1.0))
+        going = below.where(~small).groupBy("parent", "rep", "held", "chosen").agg(F.count(F.lit(1)).alias("l"))
+        going = going.where(_missed(F.col("chosen"), F.col("l"), threshold) > F.pow(F.lit(MISS), 1 / often))
+        large = below.where(~small).drop("n").join(going.select("parent", "rep"), ["parent", "rep"])
+        large = write_shared(_crowded(large.select("path", "rep", "held"), ["path"]), "buckets")
+        leaves.append(large.where(small).withColumn("blocked", F.lit(False)))
+        large = large.where(~small)
     leaves.append(large.withColumn("blocked", F.lit(True)))
     columns = ["path", "rep", "n", "blocked"]
     out = leaves[0].select(*columns)
@@ -274,6 +314,7 @@ def near_duplicates(
     """
     if not 1 <= runs <= _RUN_MASK + 1:
         raise ValueError(f"runs must be between 1 and {_RUN_MASK + 1}")
+    workers.ready(docs.sparkSession)
     options = {"width": width, "threshold": threshold, "runs": runs}
     plain = docs.drop("class_id", "links", "copies", "kept", "row")
     rows = write_shared(plain.withColumn("row", F.monotonically_increasing_id()), "documents")

@@ -165,7 +165,7 @@ def test_metric_dictionary(market):
 
 def test_prior_cancellations_and_risk(market):
     plain = as_dicts(business.prior_cancellations(market), "booking_id")
-    ranged = as_dicts(business.prior_cancellations(market, 1, 3), "booking_id")
+    ranged = as_dicts(business.prior_cancellations(market, chunks=3), "booking_id")
     assert plain == ranged
     prior = {r["booking_id"]: r["prior_cancellations"] for r in plain}
     assert [prior[b] for b in ("B1", "B2", "B3", "B4", "B11")] == [0, 1, 1, 2, 2]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from excursio.plans import training
 from excursio.warehouse import Warehouse
 from tests.conftest import booking, frames
+from verification import registry
 
 QUICK = training.TrainingOptions(
     test_days=10, trees=3, forest_depth=3, rounds=3, boost_depth=2, min_leaf=1
@@ -193,3 +194,18 @@ def test_train_and_gate_end_to_end(spark, demand, tmp_path):
         forecast, summary = runs.train_and_gate(demand, lake, run, QUICK, only=["ridge"])
         assert summary.first()["promote"] is promoted
         assert forecast.count() == 2
+
+
+def test_registered_leaderboard_fits_the_published_models(monkeypatch, demand, parts):
+    seen = []
+
+    def fit_all(train, test, options=training.TrainingOptions(), only=None):
+        seen.append((options, only))
+        return {}, None
+
+    monkeypatch.setattr(training, "fit_all", fit_all)
+    monkeypatch.setattr(registry, "_training_rows", lambda wh: parts[0])
+    registry._leaderboard(demand)
+    assert seen == [(training.TrainingOptions(), None)]
+    assert (seen[0][0].trees, seen[0][0].forest_depth) == (300, 10)
+    assert (seen[0][0].rounds, seen[0][0].boost_depth) == (300, 5)

@@ -353,10 +353,5 @@ def _baselines(wh: Warehouse) -> DataFrame:
     return training.baseline_scores(training.split_by_time(_training_rows(wh))[1])
 
 
-# Small ensembles: the registered query shows the flow, full sizes are the library default.
-_QUICK = training.TrainingOptions(trees=5, forest_depth=5, rounds=5, boost_depth=3)
-
-
 def _leaderboard(wh: Warehouse) -> DataFrame:
-    parts = training.split_by_time(_training_rows(wh))
-    return training.fit_all(*parts, options=_QUICK)[1]
+    return training.fit_all(*training.split_by_time(_training_rows(wh)))[1]

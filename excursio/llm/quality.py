@@ -242,10 +242,17 @@ def fit_scorer(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: flo
 
 @dataclass
 class QualityModel:
+    """``weights`` is None where there was nothing to fit; then the labellers' posterior is the score."""
+
     labels: LabelModel
-    weights: np.ndarray
+    weights: np.ndarray | None
     intercept: float
 
+    def scores(self, texts: list, posterior: np.ndarray) -> np.ndarray:
+        if self.weights is None:
+            return posterior
+        return 1 / (1 + np.exp(-np.clip(features(texts) @ self.weights + self.intercept, -500, 500)))
+
 
 def _voted(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("string")
@@ -258,22 +265,24 @@ def _voted(docs: DataFrame) -> DataFrame:
 
 
 def learn(docs: DataFrame, sample_rows: int = 4000) -> QualityModel:
-    """Fit the labellers over all documents, and the scorer on about ``sample_rows`` of them.
+    """Fit the labellers over all documents, and the scorer on about ``sample_rows`` distinct texts.
 
     Only counts of vote patterns (at most ``3 ** labellers``) and the sample's hashed features come to the
-    driver. The sample is drawn by a hash of the text, so copies don't weigh more in it.
+    driver. The sample is drawn by a hash of the text at a rate of the distinct texts, so copies neither weigh
+    more in it nor make it smaller; with fewer distinct texts than ``sample_rows`` all are in it.
     """
     workers.ready(docs.sparkSession)
     voted = _voted(docs.select("text"))
     rows = voted.groupBy("votes").count().collect()
     if not rows:
         flat = np.full((2, len(LABELLERS), 2), 0.5)
-        return QualityModel(LabelModel(0.5, flat), np.zeros(2 * BUCKETS), 0.0)
+        return QualityModel(LabelModel(0.5, flat), None, 0.0)
     patterns = np.array([[int(v) for v in r["votes"]] for r in rows])
     counts = np.array([r["count"] for r in rows], np.float64)
     labels = expectation_maximisation(patterns, counts)
 
-    share = min(1.0, sample_rows / counts.sum())
+    distinct = docs.agg(F.count_distinct(F.xxhash64("text", F.lit(17)))).first()[0]
+    share = min(1.0, sample_rows / distinct)
     draw = F.xxhash64("text", F.lit(17)).bitwiseAND(2**40 - 1) / float(2**40)
     sample = docs.select("text").where(draw < share)
 
@@ -292,7 +301,7 @@ def learn(docs: DataFrame, sample_rows: int = 4000) -> QualityModel:
     for k, (at, value) in enumerate(zip(found["at"], found["value"])):
         x[k, at] = value
     if not len(found):
-        return QualityModel(labels, np.zeros(2 * BUCKETS), 0.0)
+        return QualityModel(labels, None, 0.0)
     target = labels.posterior(np.array([[int(v) for v in vote] for vote in found["votes"]]))
     weights, intercept = fit_scorer(x, target, np.ones(len(x)))
     return QualityModel(labels, weights, intercept)
@@ -326,12 +335,12 @@ def judge(docs: DataFrame, model: QualityModel, into: str = "quality") -> DataFr
             for at in range(0, len(own), 500):
                 some = own[at : at + 500]
                 cast = votes(measures(some))
-                score = 1 / (1 + np.exp(-np.clip(features(some) @ frozen.weights + frozen.intercept, -500, 500)))
+                posterior = frozen.labels.posterior(cast.astype(np.int64))
                 out.append(
                     pd.DataFrame(
                         {
-                            "score": score,
-                            "posterior": frozen.labels.posterior(cast.astype(np.int64)),
+                            "score": frozen.scores(some, posterior),
+                            "posterior": posterior,
                             "votes": ["".join(map(str, row)) for row in cast],
                         }
                     )

@@ -118,6 +118,23 @@ def test_weak_labels_find_planted_junk(spark):
     assert kept.columns == docs.columns and kept.where("doc_id < 200").count() >= 198
 
 
+def test_copies_do_not_shrink_the_scorers_sample(spark):
+    few = corpus.frame(spark, corpus.plain(60, 80) + junk(20))
+    many = few.unionByName(few.where("doc_id = 0").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(4000)))).drop("_"))
+    model = quality.learn(many, sample_rows=80)
+    assert model.weights is not None and np.abs(model.weights).max() > 0
+    alone = quality.learn(few, sample_rows=80)
+    assert ((alone.weights != 0) == (model.weights != 0)).all()  # all 80 texts teach in both
+
+
+def test_without_a_fitted_scorer_the_posterior_is_the_score(spark):
+    docs = corpus.frame(spark, corpus.plain(60, 80) + junk(20))
+    model = quality.learn(docs)
+    model.weights = None
+    rows = quality.judge(docs, model).select("quality.*").collect()
+    assert all(r["score"] == r["posterior"] for r in rows) and min(r["score"] for r in rows) < quality.LEAST
+
+
 def test_expectation_maximisation_recovers_accuracies():
     draw = np.random.default_rng(1)
     n, m = 60_000, 6

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from excursio.shared import write_shared
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Letters, digits, white space and common punctuation.
 PLAIN = r"""[\p{L}\p{N}\x20\x09-\x0D.,;:!?'"()-]+"""
@@ -93,7 +95,15 @@ def mix(
     its own, the last. Documents with equal keys (repeated ids) go by id and size; fully repeated
     rows are interchangeable. An empty table gives an empty result. Other columns aren't read.
     """
+    return _taken(docs, (), weights, most_epochs, seed, rows_per_bucket)
+
+
+def _taken(
+    docs: DataFrame, kept: tuple[str, ...], weights: tuple[float, ...], most_epochs: int, seed: str, rows_per_bucket: int
+) -> DataFrame:
+    """``mix`` with the columns ``kept`` of ``docs``; they also tell rows of equal key, id and size apart."""
     sized = docs.select(
+        *kept,
         "doc_id",
         "source",
         word_count(F.col("text")).alias("size"),
@@ -103,7 +113,7 @@ def mix(
     joined = sized.join(budgets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
     buckets = F.ceil(F.col("documents") / rows_per_bucket)
     placed = joined.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * buckets))
-    own = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size")
+    own = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size", *kept)
     rows = placed.withColumn("before", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     sums = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("bucket_size"))
     along = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,6 +126,7 @@ def mix(
         rows.join(offsets, ["sid", "bucket"])
         .withColumn("passes", passes)
         .select(
+            *kept,
             "doc_id",
             "size",
             "source_size",
@@ -125,18 +136,27 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    weights: tuple[float, ...] = WEIGHTS,
+    most_epochs: int = MOST_EPOCHS,
+    seed: str = "mix",
+    rows_per_bucket: int = 2000,
+) -> DataFrame:
     """The mix as rows: each document as often as its epochs say, with the columns of ``docs``.
 
     Texts stay whole: a document is repeated ``taken / size`` times, rounded, so that the one at
-    the cut is in if at least half of it lies within the budget. Documents without words, and
-    those with a null id, are left out. Rows that share an id are taken together.
+    the cut is in if at least half of it lies within the budget. Documents without words are left
+    out. Every row counts by itself, also one with a null id or with an id that others have: rows
+    are told apart by a number that is written with them.
     """
-    found = mix(docs, **options).where(F.col("size") > 0)
-    copies = found.groupBy("doc_id").agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies"))
+    numbered = write_shared(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = _taken(numbered, ("_row",), weights, most_epochs, seed, rows_per_bucket).where(F.col("size") > 0)
+    copies = found.select("_row", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
     copies = copies.where(F.col("_copies") > 0)
     again = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return docs.join(copies, "doc_id").withColumn("_again", again).select(*docs.columns)
+    return numbered.join(copies, "_row").withColumn("_again", again).select(*docs.columns)
 
 
 SQL = f"""

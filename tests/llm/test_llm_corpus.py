@@ -78,6 +78,23 @@ def test_mixed_documents_are_whole_rows(spark):
     assert mixing.mix(corpus.frame(spark, [corpus.row(1, None)])).first()["taken"] == 0
 
 
+def test_mixed_documents_without_an_id_and_with_shared_ids(spark):
+    rows = [corpus.row(None, f"null {k} " + "word " * (k % 5 + 3), "en", "a") for k in range(30)]
+    rows += [corpus.row(7, f"shared {k} " + "word " * 6, "en", "a") for k in range(30)]
+    rows += [corpus.row(k + 100, f"own {k} " + "word " * 6, "en", "b") for k in range(40)]
+    docs = corpus.frame(spark, rows)
+    mixed = mixing.mixed_documents(docs, weights=(3.0, 2.0)).collect()
+    words = Counter()
+    for r in mixed:
+        words[r["source"]] += len(r["text"].split())
+    targets = {t["source"]: t["target"] for t in mixing.targets(docs.select("source", mixing.word_count(F.col("text")).alias("size")), (3.0, 2.0)).collect()}
+    assert all(abs(words[s] - targets[s]) <= 8 for s in targets)  # the one at the cut stays whole
+    copies = Counter(r["text"] for r in mixed if r["doc_id"] == 7)
+    wanted = mixing.mix(docs, weights=(3.0, 2.0)).where("doc_id = 7").collect()
+    assert sorted(copies.values()) == sorted(n for r in wanted if (n := int(r["taken"] / r["size"] + 0.5)))
+    assert any(r["doc_id"] is None for r in mixed)
+
+
 def brute_shards(arrivals: list[tuple[int, int]], shards: int) -> list[int]:
     """Documents one by one in order of arrival, to the first shard clockwise with room."""
     orders = sharding.clockwise(shards)

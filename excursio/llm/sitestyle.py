@@ -9,9 +9,9 @@ templates look and read the same on many pages; articles don't. A node's importa
 - content: ``1 - mean(log_m c)`` over its blocks, where a block occurs on ``c`` of the ``m`` pages;
 - an inner node: ``(1 - g**l) * presentation + g**l * sum p_i importance(child_i)``, l children, g = 0.9.
 
-Branches below a threshold are removed from every page. Elements whose tag or name says what they
-are don't wait for evidence: scripts, navigation, forms, comments and the like always go, and what is
-inside ``article`` or ``main`` is never removed for being repeated.
+A branch all of whose nodes are below a threshold is removed from every page. Elements whose tag or name says
+what they are don't wait for evidence: scripts, navigation, forms, comments and the like always go. A node that is,
+or is inside, ``article`` or ``main`` gets a bonus to its importance; the tree decides over it like over the others.
 
 Pages are parsed twice: once for the statistics, once for the text. In between only counts of hashes
 are shuffled, so a host with a third of all pages is summed up in parallel.
@@ -63,6 +63,8 @@ NAMES = frozenset(
 WITH = frozenset("has have no with without".split())
 GAMMA = 0.9
 LEAST_IMPORTANCE = 0.3
+#: What being an article, or inside one, adds to a node's importance.
+BONUS = 0.15
 #: Below so many pages a host's statistics say nothing.
 LEAST_PAGES = 5
 #: Elements nested deeper than this belong to the style node at this depth.
@@ -76,10 +78,10 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, str, bool]] = []  # style, text, certain
+        self.blocks: list[tuple[str, str]] = []  # style, text
         self.children: dict[str, list[str]] = {}
-        # (tag, style, removed, certain); removed elements and all inside are left out.
-        self._open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        # (tag, style, removed); removed elements and all inside are left out.
+        self._open: list[tuple[str, str, bool]] = [("", "", False)]
         self._text: list[str] = []
 
     def handle_starttag(self, tag, attrs):
@@ -100,9 +102,9 @@ class _Page(HTMLParser):
             if tag in BLOCKS:
                 self._end_block()
             return
-        _, style, removed, certain = self._open[-1]
+        _, style, removed = self._open[-1]
         if tag not in BLOCKS and tag not in NEVER:
-            self._open.append((tag, style, removed, certain))
+            self._open.append((tag, style, removed))
             return
         self._end_block()
         names = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _WORD.findall(v)}
@@ -111,13 +113,13 @@ class _Page(HTMLParser):
         removed = removed or self._unwanted(tag, names, "/article" in style)
         if not removed:
             self.children.setdefault(style, []).append(own)
-        self._open.append((tag, below, removed, certain or tag in ALWAYS))
+        self._open.append((tag, below, removed))
 
     @staticmethod
     def _unwanted(tag, names, inside):
         if tag == "header" or names & NAMES == {"header"}:
             return not inside  # the header of an article has its title
-        return tag in NEVER or (tag not in ALWAYS and names.isdisjoint(WITH) and not names.isdisjoint(NAMES))
+        return tag in NEVER or (tag != "main" and names.isdisjoint(WITH) and not names.isdisjoint(NAMES))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -157,8 +159,8 @@ class _Page(HTMLParser):
             text = " ".join("".join(self._text).split())
             self._text = []
             if text:
-                _, style, _, certain = next(x for x in reversed(self._open) if x[0] in BLOCKS or x[0] == "")
-                self.blocks.append((style, text, certain))
+                _, style, _ = next(x for x in reversed(self._open) if x[0] in BLOCKS or x[0] == "")
+                self.blocks.append((style, text))
 
     def finish(self):
         self.close()
@@ -190,19 +192,22 @@ def _observed(batches):
         out = {k: [] for k in ("host", "page", "facts")}
         for host, html in zip(batch["host"].tolist(), batch["html"].tolist()):
             page = parsed(html)
-            free = [(s, t) for s, t, certain in page.blocks if not certain]
             facts = [{"style": s, "kind": 0, "value": _hash("\0".join(c))} for s, c in page.children.items()]
-            facts += [{"style": s, "kind": 1, "value": v} for s, v in sorted({(s, _hash(t)) for s, t in free})]
-            present = {"", *page.children, *(a for s, _ in free for a in _ancestors(s))}
+            facts += [{"style": s, "kind": 1, "value": v} for s, v in sorted({(s, _hash(t)) for s, t in page.blocks})]
+            present = {"", *page.children, *(a for s, _ in page.blocks for a in _ancestors(s))}
             facts += [{"style": s, "kind": 2, "value": 0} for s in sorted(present)]
             out["host"].append(host)
-            out["page"].append(_hash("\0".join(f"{s}\1{t}" for s, t, _ in page.blocks)))
+            out["page"].append(_hash("\0".join(f"{s}\1{t}" for s, t in page.blocks)))
             out["facts"].append(facts)
         yield pd.DataFrame(out)
 
 
+def _marked(style: str) -> bool:
+    return any(part.split(".")[0] in ALWAYS for part in style.split("/"))
+
+
 def _weak_nodes(rows: pd.DataFrame) -> pd.DataFrame:
-    """Style nodes of one host whose importance is low: one row with all of them.
+    """Style nodes of one host whose importance, and that of all nodes below, is low: one row with all of them.
 
     ``rows`` has a row per style node: pages, entropy of its arrangements, mean ``log_m c`` and number of its blocks.
     """
@@ -225,8 +230,12 @@ def _weak_nodes(rows: pd.DataFrame) -> pd.DataFrame:
             weight = GAMMA ** len(children)
             parts.append(((1 - weight) * entropy + weight * inner, total))
         importance[style] = sum(a * w for a, w in parts) / sum(w for _, w in parts) if parts else 1.0
-    weak = [s for s, x in importance.items() if s and x < LEAST_IMPORTANCE and node[s][0] >= LEAST_PAGES]
-    weak = sorted(s for s in weak if not any(a in weak for a in list(_ancestors(s))[1:]))
+    low: set[str] = set()
+    for style, x in importance.items():  # from the leaves up
+        alike = all(c in low for c in below.get(style, []))
+        if style and alike and x + BONUS * _marked(style) < LEAST_IMPORTANCE and node[style][0] >= LEAST_PAGES:
+            low.add(style)
+    weak = sorted(s for s in low if not any(a in low for a in list(_ancestors(s))[1:]))
     return pd.DataFrame({"host": [rows["host"].iloc[0]], "weak": [weak]})
 
 
@@ -273,11 +282,7 @@ def _extracted(batches):
         out = []
         for html, weak in zip(batch["html"].tolist(), batch["weak"].tolist()):
             gone = frozenset(weak) if weak is not None else frozenset()
-            blocks = parsed(html).blocks
-            if any(certain for _, _, certain in blocks):
-                # An article is marked as such: what stands beside it isn't part of it.
-                blocks = [b for b in blocks if b[2]]
-            out.append("\n".join(t for s, t, certain in blocks if certain or not gone or gone.isdisjoint(_ancestors(s))))
+            out.append("\n".join(t for s, t in parsed(html).blocks if not gone or gone.isdisjoint(_ancestors(s))))
         yield batch[["page_id", "url"]].assign(text=out)
 
 

@@ -288,6 +288,23 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert set(trees) == {"site.example"} and any("hint" in s for s in trees["site.example"])
 
 
+def extracted(spark, bodies: list[str]) -> list[list[str]]:
+    pages = [(k, f"http://site.example/{k}", f"<body>{body}</body>") for k, body in enumerate(bodies)]
+    found = sitestyle.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    return [r["text"].split("\n") for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_teaser_articles_and_boilerplate_inside_articles(spark):
+    story = [[corpus.sentence("en", 30, 1000 * k + j) for j in range(3)] for k in range(20)]
+    text = ["".join(f"<p>{p}</p>" for p in own) for own in story]
+    teasers = "".join(f"<article class='card'><p>Read this too, number {j}</p></article>" for j in range(3))
+    assert extracted(spark, [f"<div class='story'>{t}</div><div class='row'>{teasers}</div>" for t in text]) == story
+    about = "<div class='about'>Our paper has told the news since long ago</div>"
+    assert extracted(spark, [f"<div class='wrap'>{about}<article>{t}{about}</article>{about}</div>" for t in text]) == story
+    reply = "<article class='comment'><p>me too</p></article>"
+    assert extracted(spark, [f"<main>{t}{reply}</main>" for t in text[:2]]) == story[:2]
+
+
 def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
     import corpus_pipeline
 

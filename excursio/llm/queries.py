@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.llm import chosenpath, editcount, fingerprint, impact, langid, mixing, packing, quality, sharding, sitestyle
+from excursio.llm import (
+    bpe,
+    chosenpath,
+    editcount,
+    fingerprint,
+    impact,
+    langid,
+    mixing,
+    packing,
+    prefixtree,
+    quality,
+    resample,
+    sharding,
+    sitestyle,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +85,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editcount.count_edited(docs, edits).select("doc_id", "counts.*")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtree.prefix_tree(_table(spark, sf_dir, "conversations"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.round_trip(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -83,8 +109,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
         "op10_token_counts": op10_token_counts,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_bpe": op13_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk_search": impact.SQL, "op7_mixing": mixing.SQL}
+    return {
+        "op6_topk_search": impact.SQL,
+        "op7_mixing": mixing.SQL,
+        "op11_prefix_trie": prefixtree.SQL,
+        "op12_importance_resampling": resample.SQL,
+    }

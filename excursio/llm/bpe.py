@@ -14,15 +14,15 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from excursio.llm import textbytes, workers
 
@@ -31,7 +31,8 @@ PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^
 #: Texts below this code point are cut by the standard library, over ranges written out.
 LOW = 0x250
 #: Words a task remembers between batches; then it starts over.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
+_SLICE = 1 << 20
 _NONE = np.int64(1) << 40
 
 
@@ -248,7 +249,7 @@ class Coder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
         out: list[np.ndarray] = []
-        for some in textbytes.slices(texts, 1 << 20):
+        for some in textbytes.slices(texts, _SLICE):
             if len(self._places) > self._remembered:
                 self._forget()
             cut = [self._cut(t) for t in texts[some]]
@@ -276,56 +277,82 @@ def _gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> np.ndarr
     return flat[np.arange(total) + np.repeat(starts[which] - (ends - sizes), sizes)]
 
 
-def _shared(spark: SparkSession, path: str | None):
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose values of ``column`` have about a megabyte together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    share = np.cumsum(sizes) // _SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(share)) + 1), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _binary(ids: list[np.ndarray]) -> pa.Array:
+    """Little-endian 32-bit ids of each text as one binary column."""
+    flat = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype("<u4")
+    ends = np.concatenate([[0], np.cumsum([4 * len(i) for i in ids])]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
+def _mapped(table: DataFrame, column: str, path: str | None, schema: str, convert) -> DataFrame:
+    """``doc_id`` and what ``convert`` makes of ``column``, a part of a batch at a time."""
+    spark = table.sparkSession
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
     workers.ready(spark)
-    return spark.sparkContext.broadcast(read_vocabulary(path))
+    held = spark.sparkContext.broadcast(read_vocabulary(path))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(held.value)
+        for batch in batches:
+            for part in _parts(batch, column):
+                out = convert(coder, part.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *out.values()], ["doc_id", *out])
+
+    plain = table.select(F.col("doc_id").cast("long").alias("doc_id"), column)
+    return plain.mapInArrow(mapped, f"doc_id long, {schema}")
+
+
+def _encoded(coder: Coder, texts: list[str | None]) -> list[np.ndarray]:
+    return coder.encode([t or "" for t in texts])
 
 
-def encoder(spark: SparkSession, path: str | None = None) -> Callable[[Column], Column]:
-    """A function of a text column: its ids as little-endian unsigned 32-bit integers (binary).
+def _decoded(coder: Coder, ids: Iterable[np.ndarray]) -> pa.Array:
+    return pa.array([coder.decode(i) for i in ids], pa.string())
+
+
+def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id`` and ``ids`` of every text: unsigned 32-bit integers, little-endian, as binary.
 
     Null and empty texts have no ids. Texts of any length are encoded whole; a stretch without
     any place to cut it is one word and takes as many rounds as it has different merges.
     """
-    held = _shared(spark, path)
-
-    @pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(held.value)
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch]
-            yield pd.Series([ids.astype("<u4").tobytes() for ids in coder.encode(texts)], dtype=object)
+    return _mapped(docs, "text", path, "ids binary", lambda coder, texts: {"ids": _binary(_encoded(coder, texts))})
 
-    return encoded
 
+def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id`` and ``text`` of every row's ``ids``, as ``encode`` gives them. Null ids give an empty text."""
 
-def decoder(spark: SparkSession, path: str | None = None) -> Callable[[Column], Column]:
-    """A function of a binary column as ``encoder`` makes it: the text. Null ids give an empty text."""
-    held = _shared(spark, path)
+    def texts(coder: Coder, ids: list[bytes | None]) -> dict[str, pa.Array]:
+        return {"text": _decoded(coder, (np.frombuffer(i or b"", "<u4") for i in ids))}
 
-    @pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(held.value)
-        for batch in batches:
-            yield pd.Series([coder.decode(np.frombuffer(ids or b"", "<u4")) for ids in batch], dtype=object)
-
-    return decoded
+    return _mapped(coded, "ids", path, "text string", texts)
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id``, ``ids`` (binary) and ``decoded`` text of every row of ``docs``.
+    """``encode`` and ``decode`` in one pass: ``doc_id``, ``ids`` and ``decoded`` text of every row.
 
     Null text counts as empty; repeated rows and null ids are rows like others; an empty table
     gives an empty result; further columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
-    plain = docs.select("doc_id", "text")
-    ids = plain.select("doc_id", encoder(spark, path)(F.col("text")).alias("ids"))
-    return ids.withColumn("decoded", decoder(spark, path)(F.col("ids")))
+
+    def both(coder: Coder, texts: list[str | None]) -> dict[str, pa.Array]:
+        ids = _encoded(coder, texts)
+        return {"ids": _binary(ids), "decoded": _decoded(coder, ids)}
+
+    return _mapped(docs, "text", path, "ids binary, decoded string", both)
 
 
 def digests(coded: DataFrame) -> DataFrame:

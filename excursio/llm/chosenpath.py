@@ -45,6 +45,8 @@ SMALL = 32
 BLOCK = 512
 #: Members of a bucket are alike if so many of the tokens they choose lead at least half of them on.
 ALIKE = 0.75
+#: Members of a bucket, about, whose tokens decide whether it is alike.
+JUDGED = 64
 #: A set may miss a partner with this chance, if it leaves the large buckets.
 MISS = 1e-4
 _RUN_MASK = 15
@@ -118,6 +120,17 @@ def _missed(chosen: Column, large: Column, threshold: float) -> Column:
     return F.pow(1 - met, chosen - large)
 
 
+def _children(buckets: DataFrame, deep: DataFrame, level: int) -> DataFrame:
+    """The buckets of the next level that the members of ``buckets`` choose, a row for each."""
+    run = F.col("path").bitwiseAND(_RUN_MASK)
+    tokens = F.filter(f"tokens{level}", lambda t: t.bitwiseAND(_RUN_MASK) == run)
+    found = buckets.join(deep, "rep").select(F.col("path").alias("parent"), "rep", "held", tokens.alias("tokens"))
+    found = found.select("parent", "rep", "held", F.size("tokens").alias("chosen"), F.explode("tokens").alias("token"))
+    child = F.xxhash64("parent", "token").bitwiseAND(-1 - _RUN_MASK)
+    child = child.bitwiseOR(F.col("parent").bitwiseAND(_RUN_MASK))
+    return found.select("parent", "rep", "held", "chosen", child.alias("path"))
+
+
 def _leaves(sets: DataFrame, texts: DataFrame, options: dict) -> DataFrame:
     """Buckets at the ends of their paths: ``path``, ``rep``, ``n``, ``blocked``."""
     threshold = options["threshold"]
@@ -137,28 +150,18 @@ def _leaves(sets: DataFrame, texts: DataFrame, options: dict) -> DataFrame:
     )
     deep = write_shared(deep, "choices")
     for level in range(1, LEVELS):
-        run = F.col("path").bitwiseAND(_RUN_MASK)
-        tokens = F.filter(f"tokens{level}", lambda t: t.bitwiseAND(_RUN_MASK) == run)
-        children = large.join(deep, "rep").select("path", "n", "rep", "held", tokens.alias("tokens"))
-        children = children.select(
-            F.col("path").alias("parent"),
-            F.col("n").alias("above"),
-            "rep",
-            "held",
-            F.size("tokens").alias("chosen"),
-            F.explode("tokens").alias("token"),
-        )
-        child = F.xxhash64("parent", "token").bitwiseAND(-1 - _RUN_MASK)
-        child = child.bitwiseOR(F.col("parent").bitwiseAND(_RUN_MASK))
-        children = children.select("parent", "above", "rep", "held", "chosen", child.alias("path"))
-        kinds = children.groupBy("parent", "above", "path").agg(F.count(F.lit(1)).alias("n"))
+        # Some members settle whether a bucket is alike: that only decides how it is compared.
+        draw = F.xxhash64("path", "rep", F.lit(level)).bitwiseAND(2**30 - 1) / float(2**30)
+        judged = _children(large.where(draw * F.col("n") < JUDGED), deep, level)
+        met = judged.groupBy("parent").agg(F.count_distinct("rep").alias("above"))
+        kinds = judged.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("n")).join(met, "parent")
         kept_together = F.sum(F.when(F.col("n") * 2 >= F.col("above"), F.col("n")).otherwise(0))
-        alike = kinds.groupBy("parent").agg((kept_together >= F.sum("n") * ALIKE).alias("alike"))
-        verdicts = write_shared(kinds.join(alike, "parent").where("alike or n > 1"), "verdicts")
-        together = verdicts.where("alike").select(F.col("parent").alias("path")).distinct()
+        alike = kinds.groupBy("parent").agg((kept_together >= F.sum("n") * ALIKE).alias("alike")).where("alike")
+        together = write_shared(alike.select(F.col("parent").alias("path")), "alike")
         leaves.append(large.join(together, "path").withColumn("blocked", F.lit(True)))
-        parted = verdicts.where("not alike").select("path", "n")
-        below = write_shared(children.drop("above").join(parted, "path"), "buckets")
+        children = _children(large.join(together, "path", "left_anti"), deep, level)
+        parted = children.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        below = write_shared(children.join(parted, "path"), "buckets")
         leaves.append(below.where(small).withColumn("blocked", F.lit(False)))
         # Partners share several of the large buckets of the first level, and may be missed in each.
         often = F.greatest(F.col("held") * threshold**2, F.lit(1.0))
@@ -368,5 +371,9 @@ def near_duplicates(
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class of near duplicates; the columns of ``docs``."""
-    return near_duplicates(docs.select(*docs.columns), **options).where("kept").select(*docs.columns)
+    """One document of each class of near duplicates; the columns of ``docs``, whatever their names."""
+    own = ("doc_id", "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    packed = docs.select(*own, F.struct(*others, F.lit(0).alias("_")).alias("others"))
+    kept = near_duplicates(packed, **options).where("kept")
+    return kept.select(*[F.col(c if c in own else f"others.`{c}`") for c in docs.columns])

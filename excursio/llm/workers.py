@@ -15,6 +15,15 @@ from pyspark.sql import SparkSession
 _READY: set[str] = set()
 
 
+#: Rows of a batch that goes to a Python worker, where whole texts go along from stage to stage.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the batches of the session's later Python stages small: texts have any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def ready(spark: SparkSession) -> None:
     """Hand the package out to the application's workers, once."""
     context = spark.sparkContext

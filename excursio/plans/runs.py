@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,8 @@ from excursio.operators import quality
 from excursio.operators.measures import row_count
 from excursio.plans import checks, features, intermediate, marts, staging, training
 from excursio.schemas import DAILY_TABLES, RAW_SCHEMAS
-from excursio.sources.landing import Lake, backfill, ingest, read_raw
+from excursio.sources.commits import CommitLog, delete
+from excursio.sources.landing import Lake, backfill, ingest, pending_days, read_raw
 from excursio.sources.state import advance_state, refuse_if_loaded
 from excursio.warehouse import CALENDAR_END, CALENDAR_START, Warehouse
 
@@ -59,22 +61,40 @@ def build(wh: Warehouse, lake: Lake) -> list:
     """Build every layer, check it, and stop at the first layer with a failed ``error`` check.
 
     Staging and intermediate models stay views over a few written tables; marts and features
-    are written in full. Returns the ``warn`` findings.
+    are written in full, to a folder of this build, and published together by one commit when all
+    checks have passed. Until then, and if the build breaks off, readers see the build before; one
+    that has opened a table keeps reading its own build. Returns the ``warn`` findings.
     """
     warnings = []
+    folder = f"build-{uuid.uuid4().hex}"
     for layer, (models, shared, layer_checks) in LAYERS.items():
         wh.materialise_stages(shared)
         if layer in WRITTEN_LAYERS:
             for name in models:
-                path = f"{lake.lake}/{layer}/{name}"
-                wh.table(name).write.mode("overwrite").parquet(path)
+                path = f"{lake.builds}/{folder}/{layer}/{name}"
+                wh.table(name).write.parquet(path)
                 wh.replace(name, wh.spark.read.parquet(path))
         warnings += quality.enforce(quality.summarise(wh.table, layer_checks))
         if layer == "intermediate":
             checks.raise_if_invalid(_conservation(wh), "booking split")
+    CommitLog(wh.spark, lake.published).add(folder, folder)
     return warnings
 
 
+def read_published(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame | None:
+    """A mart or feature table of the latest published build, None before the first."""
+    builds = CommitLog(spark, lake.published).all()
+    return spark.read.parquet(f"{lake.builds}/{builds[-1].label}/{layer}/{name}") if builds else None
+
+
+def remove_old_builds(spark: SparkSession, lake: Lake, keep: int = 3) -> list[str]:
+    """Delete all published builds but the last ``keep``, which readers may still have open."""
+    old = [c.label for c in CommitLog(spark, lake.published).all()][: -max(keep, 1)]
+    for folder in old:
+        delete(spark, f"{lake.builds}/{folder}")
+    return old
+
+
 def _conservation(wh: Warehouse) -> DataFrame:
     counted = checks.split_violation(wh).agg(row_count("violations"))
     return quality.labelled(counted, rule="details and orphans add up to staging")
@@ -107,8 +127,12 @@ def run_backfill(
 ) -> DataFrame:
     """Load the days [start, end) in one job per table, then rebuild once.
 
-    Files that a daily run has loaded are left out.
+    Files that a run before has loaded are left out. New booking files for a day that has bookings
+    already are refused, as a daily run refuses them.
     """
+    if start >= end:
+        raise ValueError(f"no day from {start} up to {end}")
+    refuse_if_loaded(read_raw(spark, lake, "bookings"), *pending_days(spark, lake, "bookings", start, end))
     for table in tables:
         backfill(spark, lake, table, start, end)
     last = end - dt.timedelta(days=1)

@@ -1,15 +1,19 @@
 """CSV landing zone: typed loading with quarantine, and incremental day loads.
 
 Layout: ``<landing>/<table>/dt=YYYY-MM-DD/*.csv``. Loaded rows go to ``<lake>/raw/<table>``,
-rejected ones to ``<lake>/quarantine/<table>``, both partitioned by ``dt`` and ``load``. Every
-load overwrites only its own ``load`` partitions, so a batch that is retried after a failure
-replaces its rows instead of repeating them. ``<lake>/loads/<table>`` lists the files of every
-load; a file that another load has taken is left out, whichever way it comes again.
+rejected ones to ``<lake>/quarantine/<table>``, both partitioned by ``dt`` and ``load``.
+
+A load writes its rows and the list of its files under an id of its own, and then commits both at
+once in ``<lake>/loads/<table>/commits``. Readers take committed loads only, so a load that broke
+off leaves nothing to see, and its files come with the next load. A committed file is left out of
+every later load, whichever way it comes again; of two loads that run side by side and share a
+file, one fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,13 +26,14 @@ from excursio.operators.quality import CheckFailed
 from excursio.plans.checks import gate_batch, gate_rules
 from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.shared import release, write_shared
+from excursio.sources.commits import Commit, CommitLog, delete
 from excursio.sources.state import read_or_none
 
 # Texts that mean NULL in a landing file.
 NULL_TOKENS = ("", "NULL", "null")
 _LINE = "_line"
 _REASONS = "_reasons"
-_FILE = "_file"
+_FILE, _SIZE, _MODIFIED = "_file", "_size", "_modified"
 HALT, QUARANTINE = "halt", "quarantine"
 
 
@@ -48,12 +53,23 @@ class Lake:
     def quarantine(self, table: str) -> str:
         return f"{self.lake}/quarantine/{table}"
 
-    def loads(self, table: str) -> str:
-        return f"{self.lake}/loads/{table}"
+    def commits(self, table: str) -> str:
+        return f"{self.lake}/loads/{table}/commits"
+
+    def loaded_files(self, table: str) -> str:
+        return f"{self.lake}/loads/{table}/files"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.lake}/checkpoints/{name}"
 
+    @property
+    def builds(self) -> str:
+        return f"{self.lake}/builds"
+
+    @property
+    def published(self) -> str:
+        return f"{self.lake}/published"
+
     @property
     def state(self) -> str:
         return f"{self.lake}/state"
@@ -131,21 +147,67 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 
 def bulk_load(spark: SparkSession, lake: Lake, table: str, *paths: str) -> None:
-    """Full load of one table from flat files; replaces what was there."""
-    parsed = write_shared(parse(read_csv(spark, table, *paths), table), f"bulk-{table}")
+    """Full load of one table from flat files; once it is committed it replaces what was there."""
+    load = f"bulk-{uuid.uuid4().hex}"
+    typed = parse(read_csv(spark, table, *paths), table).withColumns({"dt": F.lit(None).cast("date"), "load": F.lit(load)})
+    parsed = write_shared(typed, f"bulk-{table}")
     try:
-        accepted(parsed).write.mode("overwrite").parquet(lake.raw(table))
-        rejected(parsed).write.mode("overwrite").parquet(lake.quarantine(table))
+        write_days(accepted(parsed), lake.raw(table))
+        write_days(rejected(parsed), lake.quarantine(table))
+        CommitLog(spark, lake.commits(table)).add(load, load, replaces=True)
     finally:
         release(parsed)
 
 
+def _committed(spark: SparkSession, lake: Lake, table: str, path: str, extra: str = "") -> DataFrame | None:
+    """Rows of committed loads, None before the first; other partitions are pruned, not read."""
+    loads = [c.label for c in CommitLog(spark, lake.commits(table)).current()]
+    if not loads:
+        return None
+    schema = T.StructType([*RAW_SCHEMAS[table].fields, *T.StructType.fromDDL(f"{extra}dt date, load string").fields])
+    rows = read_or_none(spark, path, schema=schema)
+    return None if rows is None else rows.filter(F.col("load").isin(loads))
+
+
 def read_raw(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
     """Loaded rows of a table, None before its first load."""
-    loaded = read_or_none(spark, lake.raw(table))
+    loaded = _committed(spark, lake, table, lake.raw(table))
     return None if loaded is None else loaded.select(*columns(table))
 
 
+def read_quarantine(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
+    """Rejected rows of a table with their day and the reason, None before its first load."""
+    refused = _committed(spark, lake, table, lake.quarantine(table), "reason string, ")
+    return None if refused is None else refused.drop("load")
+
+
+def load_history(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
+    """Every file of every committed load: path, size, time of change, rows and load."""
+    return _files_of(spark, lake, table, CommitLog(spark, lake.commits(table)).all())
+
+
+def _files_of(spark: SparkSession, lake: Lake, table: str, commits: list[Commit]) -> DataFrame | None:
+    schema = f"{_FILE} string, {_SIZE} long, {_MODIFIED} timestamp, rows long, load string"
+    listed = read_or_none(spark, lake.loaded_files(table), schema=schema) if commits else None
+    return None if listed is None else listed.filter(F.col("load").isin([c.label for c in commits]))
+
+
+def remove_unfinished(spark: SparkSession, lake: Lake, table: str) -> list[str]:
+    """Delete what loads that never committed have left; not to be run while a load is running."""
+    known = {c.label for c in CommitLog(spark, lake.commits(table)).all()}
+    gone = set()
+    for path in (lake.raw(table), lake.quarantine(table)):
+        rows = read_or_none(spark, path, schema="dt string, load string")
+        found = rows.select("dt", "load").distinct().collect() if rows is not None else []  # one row a load and day
+        for day, load in found:
+            if load not in known:
+                delete(spark, f"{path}/dt={day or '__HIVE_DEFAULT_PARTITION__'}/load={load}")
+                gone.add(load)
+    for load in gone:
+        delete(spark, f"{lake.loaded_files(table)}/load={load}")
+    return sorted(gone)
+
+
 def write_days(df: DataFrame, path: str) -> None:
     """Write ``dt``/``load`` partitions, replacing only the ones present in ``df``.
 
@@ -156,20 +218,27 @@ def write_days(df: DataFrame, path: str) -> None:
     writer.partitionBy("dt", "load").parquet(path)
 
 
-def _store(parsed: DataFrame, lake: Lake, table: str, load: str, on_violation: str) -> None:
-    """Gate one batch, then write the good rows and the rejected ones.
+def _store(parsed: DataFrame, lake: Lake, table: str, name: str, on_violation: str) -> None:
+    """Gate one batch, write the good rows and the rejected ones, and commit them with their files.
 
-    Files that belong to another load are left out. The batch's own are listed before its rows
-    are written: if it breaks off there, only its own retry can bring them.
+    Files of committed loads are left out. ``name`` is committed once: a batch that is retried
+    although it was committed does nothing.
     """
-    listed = read_or_none(parsed.sparkSession, lake.loads(table))
-    if listed is not None:
-        others = listed.filter(F.col("load") != load).select(_FILE)
-        parsed = parsed.join(others, _FILE, "left_anti")
-    batch = write_shared(parsed.withColumn("load", F.lit(load)), f"load-{table}")
-    files = batch.select(_FILE).distinct()
-    batch = batch.drop(_FILE)
+    spark = parsed.sparkSession
+    log = CommitLog(spark, lake.commits(table))
+    before = log.all()
+    if any(c.name == name for c in before):
+        return
+    taken = _files_of(spark, lake, table, before)
+    if taken is not None:
+        parsed = parsed.join(taken.select(_FILE), _FILE, "left_anti")
+    load = f"{name}-{uuid.uuid4().hex}"
+    held = write_shared(parsed.withColumn("load", F.lit(load)), f"load-{table}")
     try:
+        if held.isEmpty():
+            return
+        listed = held.groupBy(_FILE).agg(F.first(_SIZE).alias(_SIZE), F.first(_MODIFIED).alias(_MODIFIED), row_count("rows"))
+        batch = held.drop(_FILE, _SIZE, _MODIFIED)
         if on_violation == HALT:
             found = gate_batch(table, accepted(batch)).filter("violations > 0").collect()
             if found:
@@ -178,11 +247,17 @@ def _store(parsed: DataFrame, lake: Lake, table: str, load: str, on_violation: s
                 )
         else:
             batch = _with_gate_reasons(batch, table)
-        files.write.mode("overwrite").parquet(f"{lake.loads(table)}/load={load}")
         write_days(accepted(batch), lake.raw(table))
         write_days(rejected(batch), lake.quarantine(table))
+        listed.write.parquet(f"{lake.loaded_files(table)}/load={load}")
+
+        def compatible(others: list[Commit]) -> bool:
+            theirs = _files_of(spark, lake, table, others)
+            return theirs is None or listed.join(theirs.select(_FILE), _FILE, "left_semi").isEmpty()
+
+        log.add(name, load, compatible=compatible, seen=len(before))
     finally:
-        release(batch)
+        release(held)
 
 
 def _with_gate_reasons(batch: DataFrame, table: str) -> DataFrame:
@@ -209,9 +284,9 @@ def ingest(
 ) -> None:
     """Load the files not loaded before, of one day or of all days, then stop.
 
-    The list of loaded files is the load history; the stream's checkpoint saves reading them
-    again. A batch that fails the gate is recorded in neither, so its files are read again once
-    they have been repaired.
+    The committed files are the load history; the stream's checkpoint saves reading them again.
+    A batch that fails the gate is recorded in neither, so its files are read again once they have
+    been repaired.
     """
     name = f"{table}/{day.isoformat() if day else 'all'}"
     path = f"{lake.files(table)}/dt={day.isoformat()}" if day else lake.files(table)
@@ -260,15 +335,32 @@ def backfill(
     end: dt.date,
     on_violation: str = HALT,
 ) -> None:
-    """Load all day folders of [start, end) in one job; other days are pruned, not read."""
+    """Load all day folders of [start, end) in one job; other days are pruned, not read.
+
+    Every call is a load of its own, which takes the files that no load before it has taken.
+    """
+    lines = _days(spark, lake, table, start, end)
+    _store(parse(_with_file(lines), table), lake, table, f"backfill-{uuid.uuid4().hex}", on_violation)
+
+
+def _days(spark: SparkSession, lake: Lake, table: str, start: dt.date, end: dt.date) -> DataFrame:
     lines = read_csv(spark, table, lake.files(table), with_day=True)
-    wanted = lines.filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
-    _store(parse(_with_file(wanted), table), lake, table, "backfill", on_violation)
+    return lines.filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
+
+
+def pending_days(spark: SparkSession, lake: Lake, table: str, start: dt.date, end: dt.date) -> list[dt.date]:
+    """Days of [start, end) with files that no load has taken; at most one row a day comes to the driver."""
+    files = _with_file(_days(spark, lake, table, start, end)).select("dt", _FILE)
+    taken = load_history(spark, lake, table)
+    if taken is not None:
+        files = files.join(taken.select(_FILE), _FILE, "left_anti")
+    return sorted(r["dt"] for r in files.select("dt").distinct().collect())
 
 
 def _with_file(lines: DataFrame) -> DataFrame:
-    """Add the file that each line is from."""
-    return lines.withColumn(_FILE, F.col("_metadata.file_path"))
+    """Add the file that each line is from, its size and its time of change."""
+    meta = F.col("_metadata")
+    return lines.withColumns({_FILE: meta["file_path"], _SIZE: meta["file_size"], _MODIFIED: meta["file_modification_time"]})
 
 
 def write_landing(df: DataFrame, lake: Lake, table: str, day_column: str) -> None:
@@ -292,8 +384,8 @@ def load_reconciliation(spark: SparkSession, lake: Lake, table: str) -> DataFram
 
     # Columns are pruned to the partition day; the rows are still counted line by line.
     files = per_day(read_csv(spark, table, lake.files(table), with_day=True), "file_rows")
-    loaded = per_day(read_or_none(spark, lake.raw(table)), "loaded_rows")
-    refused = per_day(read_or_none(spark, lake.quarantine(table)), "rejected_rows")
+    loaded = per_day(_committed(spark, lake, table, lake.raw(table)), "loaded_rows")
+    refused = per_day(read_quarantine(spark, lake, table), "rejected_rows")
     counts = ["file_rows", "loaded_rows", "rejected_rows"]
     joined = files.join(loaded, "dt", "full").join(refused, "dt", "full")
     zeroed = joined.select("dt", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])

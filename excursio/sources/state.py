@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from excursio.functions.scalars import id_number
@@ -20,10 +21,13 @@ class AlreadyLoaded(Exception):
     """The date has bookings already; loading it again would repeat them."""
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet folder, or None while nothing has been written there."""
+def read_or_none(
+    spark: SparkSession, path: str, kind: str = "parquet", schema: str | T.StructType | None = None
+) -> DataFrame | None:
+    """A folder of files, or None while nothing has been written there."""
+    reader = spark.read.format(kind)
     try:
-        return spark.read.parquet(path)
+        return (reader.schema(schema) if schema else reader).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -49,12 +53,13 @@ def advance_state(spark: SparkSession, path: str, day: dt.date) -> None:
     )
 
 
-def refuse_if_loaded(bookings: DataFrame | None, day: dt.date) -> None:
-    """Stop before a second load of ``day``; the filter reaches the files."""
-    if bookings is None:
+def refuse_if_loaded(bookings: DataFrame | None, *days: dt.date) -> None:
+    """Stop before a second load of one of ``days``; the filter reaches the files."""
+    if bookings is None or not days:
         return
-    if not bookings.filter(F.col("experience_date") == F.lit(day)).limit(1).isEmpty():
-        raise AlreadyLoaded(f"{day} already has bookings; delete them before loading again")
+    found = bookings.filter(F.col("experience_date").isin(list(days))).select("experience_date").limit(1).collect()
+    if found:
+        raise AlreadyLoaded(f"{found[0][0]} already has bookings; delete them before loading again")
 
 
 def next_number(df: DataFrame, column: str, prefix: str, base: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from excursio.operators.quality import CheckFailed
 from excursio.plans import runs
-from excursio.sources import landing, state
+from excursio.sources import commits, landing, state
 from excursio.sources.landing import Lake
 from tests.conftest import as_dicts, at, booking, event
 
@@ -97,7 +97,7 @@ def test_bulk_load(spark, lake, tmp_path):
     for _ in range(2):
         landing.bulk_load(spark, lake, "availability", str(path))
     assert landing.read_raw(spark, lake, "availability").count() == 2
-    assert spark.read.parquet(lake.quarantine("availability")).count() == 1
+    assert landing.read_quarantine(spark, lake, "availability").count() == 1
 
 
 def test_files_are_loaded_once(spark, lake):
@@ -156,7 +156,7 @@ def test_gate_can_quarantine_instead(spark, lake):
     put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1) + "EXP000001,2026-01-02,09:00,1,6,5\n")
     landing.ingest(spark, lake, "availability", DAY1, on_violation=landing.QUARANTINE)
     assert landing.read_raw(spark, lake, "availability").count() == 2
-    reason = spark.read.parquet(lake.quarantine("availability")).first()["reason"]
+    reason = landing.read_quarantine(spark, lake, "availability").first()["reason"]
     assert reason == "rule: available_capacity <= total_capacity"
 
 
@@ -224,9 +224,9 @@ def test_daily_run_guard_and_backfill(spark, stocked, tmp_path):
         landing.bulk_load(spark, other, table, str(tmp_path / f"{table}.csv"))
     end = DAY2 + dt.timedelta(days=1)
     runs.run_backfill(spark, other, DAY1, end, SETTINGS)
-    for model in ("marts/fact_bookings", "ml/ml_demand_features"):
-        daily = spark.read.parquet(f"{stocked.lake}/{model}")
-        bulk = spark.read.parquet(f"{other.lake}/{model}")
+    for model in (("marts", "fact_bookings"), ("ml", "ml_demand_features")):
+        daily = runs.read_published(spark, stocked, *model)
+        bulk = runs.read_published(spark, other, *model)
         assert daily.exceptAll(bulk).count() == bulk.exceptAll(daily).count() == 0
 
 
@@ -236,7 +236,7 @@ def test_build_stops_at_a_failed_check(spark, stocked, tmp_path):
     landing.bulk_load(spark, stocked, "suppliers", str(path))
     with pytest.raises(CheckFailed, match="relationships:supplier_id"):
         runs.run_daily(spark, stocked, DAY1, SETTINGS)
-    assert state.read_or_none(spark, f"{stocked.lake}/marts/fact_bookings") is None
+    assert runs.read_published(spark, stocked, "marts", "fact_bookings") is None
 
 
 def test_backfill_reads_only_its_days(spark, stocked):
@@ -292,4 +292,134 @@ def test_quarantine_takes_repeated_bookings(spark, lake):
     landing.ingest(spark, lake, "bookings", DAY1, on_violation=landing.QUARANTINE)
     kept = landing.read_raw(spark, lake, "bookings").collect()
     assert [r["booking_timestamp"] for r in kept] == [at("2026-01-01", "10:00")]
-    assert spark.read.parquet(lake.quarantine("bookings")).first()["reason"] == "rule: unique booking_id"
+    assert landing.read_quarantine(spark, lake, "bookings").first()["reason"] == "rule: unique booking_id"
+
+
+def counts(spark, lake, table="availability"):
+    found = landing.load_reconciliation(spark, lake, table).orderBy("dt").collect()
+    assert all(r["complete"] for r in found)
+    return [r["loaded_rows"] for r in found]
+
+
+@pytest.mark.parametrize("order", ["backfill first, backfill second, all", "backfill second, day first, backfill both, all"])
+def test_several_backfills_and_loads_in_any_order(spark, lake, order):
+    put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1))
+    put(lake, "availability", DAY2, AVAILABILITY + slots(DAY2, 3))
+    end = DAY2 + dt.timedelta(days=1)
+    spans = {"first": (DAY1, DAY2), "second": (DAY2, end), "both": (DAY1, end)}
+    for step in order.split(", "):
+        if step == "all":
+            landing.ingest(spark, lake, "availability")
+        elif step.startswith("day"):
+            landing.ingest(spark, lake, "availability", DAY1)
+        else:
+            landing.backfill(spark, lake, "availability", *spans[step.split()[1]])
+    put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1, 1, "EXP000009"), "more.csv")
+    landing.backfill(spark, lake, "availability", *spans["both"])
+    landing.backfill(spark, lake, "availability", *spans["first"])
+    assert counts(spark, lake) == [3, 3]
+    history = landing.load_history(spark, lake, "availability").collect()
+    assert sorted((r["_file"].rsplit("/", 2)[1][3:], r["rows"]) for r in history) == [
+        (str(DAY1), 1), (str(DAY1), 2), (str(DAY2), 3)
+    ]
+    assert all(r["_size"] > 0 and r["_modified"] is not None for r in history)
+
+
+@pytest.mark.parametrize("way", ["backfill", "ingest"])
+def test_a_load_that_breaks_off_before_its_commit_leaves_nothing(spark, lake, monkeypatch, way):
+    end = DAY2 + dt.timedelta(days=1)
+    load = {
+        "backfill": lambda: landing.backfill(spark, lake, "availability", DAY1, end),
+        "ingest": lambda: landing.ingest(spark, lake, "availability"),
+    }[way]
+    put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1))
+    landing.ingest(spark, lake, "availability", DAY1)
+    put(lake, "availability", DAY2, AVAILABILITY + slots(DAY2))
+    with monkeypatch.context() as broken:
+        def lost(*_, **__):
+            raise OSError("the driver is gone")
+
+        broken.setattr(commits.CommitLog, "_rename_into_place", lost)
+        with pytest.raises(OSError):
+            load()
+    assert landing.read_raw(spark, lake, "availability").count() == 2
+    landing.ingest(spark, lake, "availability", DAY2)  # another load may bring the files
+    assert counts(spark, lake) == [2, 2]
+    load()
+    assert counts(spark, lake) == [2, 2]
+    assert len(landing.remove_unfinished(spark, lake, "availability")) == 1
+    assert landing.remove_unfinished(spark, lake, "availability") == []
+    assert counts(spark, lake) == [2, 2]
+
+
+def test_two_loads_side_by_side_do_not_share_a_file(spark, lake, monkeypatch):
+    end = DAY2 + dt.timedelta(days=1)
+    put(lake, "availability", DAY1, AVAILABILITY + slots(DAY1))
+    write, inside = landing.write_days, []
+
+    def meanwhile(df, path):
+        if not inside:
+            inside.append(1)
+            landing.backfill(spark, lake, "availability", DAY1, end)
+        write(df, path)
+
+    monkeypatch.setattr(landing, "write_days", meanwhile)
+    with pytest.raises(commits.CommitConflict):
+        landing.backfill(spark, lake, "availability", DAY1, end)
+    assert counts(spark, lake) == [2]
+
+
+def test_commits_are_numbered_without_gaps(spark, tmp_path):
+    log = commits.CommitLog(spark, str(tmp_path / "log"))
+    assert log.all() == []
+    log.add("a", "la")
+    assert not log._rename_into_place("0000000000.json", "{}")
+    log.add("b", "lb", replaces=True)
+    log.add("c", "lc")
+    assert [(c.number, c.name) for c in log.all()] == [(0, "a"), (1, "b"), (2, "c")]
+    assert [c.name for c in log.current()] == ["b", "c"]
+    with pytest.raises(commits.CommitConflict):
+        log.add("a", "again")
+
+
+def test_a_bulk_load_replaces_once_it_is_committed(spark, lake, tmp_path, monkeypatch):
+    path = tmp_path / "availability.csv"
+    path.write_text(AVAILABILITY + slots(DAY1))
+    landing.bulk_load(spark, lake, "availability", str(path))
+    path.write_text(AVAILABILITY + slots(DAY1, 3))
+    with monkeypatch.context() as broken:
+        broken.setattr(commits.CommitLog, "add", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            landing.bulk_load(spark, lake, "availability", str(path))
+    assert landing.read_raw(spark, lake, "availability").count() == 2
+    landing.bulk_load(spark, lake, "availability", str(path))
+    assert landing.read_raw(spark, lake, "availability").count() == 3
+
+
+def test_readers_keep_their_build(spark, stocked, monkeypatch):
+    runs.run_daily(spark, stocked, DAY1, SETTINGS)
+    opened = runs.read_published(spark, stocked, "marts", "fact_bookings")
+    landing.ingest(spark, stocked, "bookings", DAY2)
+    with monkeypatch.context() as broken:  # marts written, checks not passed
+        broken.setitem(runs.LAYERS, "ml", ({"ml_gone": None}, (), ()))
+        with pytest.raises(Exception):
+            runs.build(runs.open_lake(spark, stocked, SETTINGS), stocked)
+    assert runs.read_published(spark, stocked, "marts", "fact_bookings").count() == 2
+    runs.build(runs.open_lake(spark, stocked, SETTINGS), stocked)
+    assert runs.read_published(spark, stocked, "marts", "fact_bookings").count() == 4
+    assert opened.count() == 2
+    assert len(runs.remove_old_builds(spark, stocked, keep=1)) == 1
+    assert runs.read_published(spark, stocked, "marts", "fact_bookings").count() == 4
+
+
+def test_backfill_is_guarded(spark, stocked):
+    end = DAY2 + dt.timedelta(days=1)
+    with pytest.raises(ValueError):
+        runs.run_backfill(spark, stocked, DAY2, DAY1, SETTINGS)
+    runs.run_daily(spark, stocked, DAY1, SETTINGS)
+    again = booking(77, "C1", "EXP000001", dt.datetime(2025, 12, 21, 10), str(DAY1))
+    put(stocked, "bookings", DAY1, csv_of(reordered([again], "bookings")), "again.csv")
+    with pytest.raises(state.AlreadyLoaded):
+        runs.run_backfill(spark, stocked, DAY1, end, SETTINGS)
+    summary = runs.run_backfill(spark, stocked, DAY2, end, SETTINGS).first()
+    assert summary["raw_bookings"] == 4

@@ -936,6 +936,12 @@ def _other() -> dict[str, str]:
             SELECT event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
                    0::BIGINT AS rejected_rows, true AS complete
             FROM raw_web_events GROUP BY 1""",
+        "interleaved_loads": """
+            SELECT load_order, event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
+                   0::BIGINT AS rejected_rows, true AS complete
+            FROM raw_web_events
+            CROSS JOIN (VALUES ('halves, then all'), ('a day, then overlapping'), ('late, all, whole')) AS o(load_order)
+            GROUP BY 1, 2""",
         "quarantined_bookings": """
             SELECT booking_id, experience_id, 'unknown experience' AS quarantine_reason
             FROM stg_bookings

@@ -217,6 +217,7 @@ def queries() -> dict[str, Query]:
             lambda wh: load_reconciliation(wh.spark, _landed(wh), "web_events")
         ),
         "repeated_loads": on(_loaded_again),
+        "interleaved_loads": on(_interleaved_loads),
         "quarantined_bookings": on(_quarantined),
     }
     groups = (models, dashboard, rules, lookups, quality, forecasting, streams, loads)
@@ -252,6 +253,34 @@ def _loaded_again(wh: Warehouse) -> DataFrame:
     return load_reconciliation(wh.spark, lake, "web_events")
 
 
+def _interleaved_loads(wh: Warehouse) -> DataFrame:
+    """Backfills, day loads and loads of all days in three orders, each over a lake of its own."""
+    place = _place(wh, "landing")
+    events = wh.source("web_events")
+    write_landing(events, Lake(f"{place}/files", place), "web_events", "event_timestamp")
+    first, last = events.agg(
+        F.to_date(F.min("event_timestamp")), F.to_date(F.max("event_timestamp"))
+    ).first()
+    middle, end = first + (last - first) // 2, last + dt.timedelta(days=1)
+    early, late, whole = (first, middle), (middle, end), (first, end)
+    orders = {
+        "halves, then all": (early, late, None, first),
+        "a day, then overlapping": (last, (first, last), late, None),
+        "late, all, whole": (late, None, whole, early),
+    }
+    found = []
+    for name, steps in orders.items():
+        lake = Lake(f"{place}/files", f"{place}/{len(found)}")
+        for step in steps:
+            if isinstance(step, tuple):
+                backfill(wh.spark, lake, "web_events", *step)
+            else:
+                ingest(wh.spark, lake, "web_events", step)
+        counted = load_reconciliation(wh.spark, lake, "web_events")
+        found.append(counted.select(F.lit(name).alias("load_order"), *counted.columns))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def _quarantined(wh: Warehouse) -> DataFrame:
     bookings = wh.table("stg_bookings").select("booking_id", "experience_id")
     known = wh.table("stg_experiences")

@@ -254,4 +254,6 @@ def test_round_trip_of_whole_tables(spark, tokenizer):
         assert back == (text or "")
         want.append((doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
     assert got == sorted(want, key=str)
+    again = bpe.decode(bpe.encode(table)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in again) == sorted((d[0] or 0, d[1] or "") for d in docs)
     assert bpe.digests(bpe.round_trip(table.limit(0))).count() == 0

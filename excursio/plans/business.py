@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from excursio.functions import rules
 from excursio.functions.calendar import days_between, minutes_between
 from excursio.functions.scalars import position_in
-from excursio.operators.joins import unmatched_between
+from excursio.operators.joins import matched_once, unmatched_between
 from excursio.operators.measures import count_where, ratio, row_count
 from excursio.operators.ordered import previous_values, running_total
 from excursio.schemas import FUNNEL_STAGES, LOST_STATUSES
+from excursio.shared import write_shared
 from excursio.warehouse import Warehouse
 
 AMOUNT_TOLERANCE = 0.005
@@ -329,3 +330,22 @@ def purchase_reconciliation(wh: Warehouse) -> DataFrame:
         (purchases == F.col("bookings")).alias("counts_agree"),
     )
 
+
+def purchase_matches(purchases: DataFrame, bookings: DataFrame, within_minutes: int = 60) -> DataFrame:
+    """Each purchase with at most one booking: both ids, or one of them alone, and ``status``.
+
+    Purchases have ``event_id`` and ``event_timestamp``, bookings ``booking_id`` and ``booking_timestamp``;
+    both have a customer and an experience. Ids must be unique.
+    """
+    keys = ["customer_id", "experience_id"]
+    pairs = matched_once(
+        purchases, bookings, keys, "event_id", "booking_id", "event_timestamp", "booking_timestamp", within_minutes
+    )
+    pairs = write_shared(pairs, "matches")
+    lone_purchases = purchases.select("event_id").join(pairs.select("event_id"), "event_id", "left_anti")
+    lone_bookings = bookings.select("booking_id").join(pairs.select("booking_id"), "booking_id", "left_anti")
+    return (
+        pairs.withColumn("status", F.lit("matched"))
+        .unionByName(lone_purchases.withColumn("status", F.lit("purchase only")), allowMissingColumns=True)
+        .unionByName(lone_bookings.withColumn("status", F.lit("booking only")), allowMissingColumns=True)
+    )

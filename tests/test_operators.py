@@ -138,3 +138,38 @@ def test_ratio_and_distribution(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
     shares = {r["v"]: r["share"] for r in measures.value_distribution(df, "v").collect()}
     assert shares == {"a": 0.5, "b": 0.25, None: 0.25}
+
+
+def greedy_pairs(left, right, minutes):
+    near = sorted(
+        (abs((a[3] - b[3]).total_seconds()), a[0], b[0])
+        for a in left
+        for b in right
+        if None not in a and None not in b and a[1:3] == b[1:3] and abs((a[3] - b[3]).total_seconds()) <= 60 * minutes
+    )
+    out, used = [], set()
+    for apart, l, r in near:
+        if ("l", l) not in used and ("r", r) not in used:
+            used |= {("l", l), ("r", r)}
+            out.append((l, r, apart / 60))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_are_matched_once(spark, seed):
+    draw = random.Random(seed)
+    start = dt.datetime(1969, 12, 31, 20)
+
+    def rows(side, n):
+        made = []
+        for k in range(n):
+            when = start + dt.timedelta(minutes=draw.choice([15, 30, 45, 60]) * draw.randint(0, 20))
+            made.append([f"{side}{k:03d}", draw.choice("ab"), draw.choice(["x", "y", None]), draw.choice([when, when, None])])
+        return [tuple(r) for r in made]
+
+    left, right = rows("l", 60), rows("r", 50)
+    schema = "{0}_id string, who string, what string, {0}_time timestamp_ntz"
+    a, b = (spark.createDataFrame(r, schema.format(n)) for r, n in ((left, "a"), (right, "b")))
+    found = joins.matched_once(a, b, ["who", "what"], "a_id", "b_id", "a_time", "b_time", 45)
+    assert sorted(map(tuple, found.collect())) == greedy_pairs(left, right, 45)
+    assert joins.matched_once(a.limit(0), b, ["who", "what"], "a_id", "b_id", "a_time", "b_time", 45).count() == 0

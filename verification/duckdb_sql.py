@@ -404,6 +404,46 @@ _UNBOOKED = """
           AND l.{left_time} = r.{right_time})"""
 
 
+_PURCHASES = """(
+    SELECT event_id, customer_id, experience_id, event_timestamp
+    FROM stg_web_events WHERE event_type = 'PURCHASE'
+    UNION ALL
+    SELECT 'EVT-' || booking_id, customer_id, experience_id,
+           booking_timestamp + to_minutes((n % 80 - 10)::BIGINT)
+    FROM (SELECT *, substr(booking_id, 2)::BIGINT AS n FROM stg_bookings)
+    WHERE n % 3 = 0 AND customer_id IS NOT NULL)"""
+_NEAR_BOOKING = """
+    p.customer_id = b.customer_id AND p.experience_id = b.experience_id
+    AND b.booking_timestamp BETWEEN p.event_timestamp - INTERVAL 1 HOUR
+                                AND p.event_timestamp + INTERVAL 1 HOUR"""
+#: Events in four stretches of time, those that come late, and those that come twice.
+_DEALT = """
+    SELECT *, substr(event_id, 4)::BIGINT AS n,
+           (epoch_us(event_timestamp) - min(epoch_us(event_timestamp)) OVER ()) * 4
+           // (max(epoch_us(event_timestamp)) OVER () - min(epoch_us(event_timestamp)) OVER () + 1) AS part
+    FROM raw_web_events"""
+
+
+def _matching_rounds(rounds: int) -> str:
+    """Greedy one-to-one matching, as many mutual-nearest rounds as written out."""
+    text = f"""
+        open0 AS (
+            SELECT event_id, booking_id,
+                   abs(epoch_us(p.event_timestamp) - epoch_us(b.booking_timestamp)) AS apart
+            FROM purchase_log p JOIN stg_bookings b ON {_NEAR_BOOKING})"""
+    for k in range(rounds):
+        text += f""",
+        pairs{k} AS (
+            SELECT event_id, booking_id, apart
+            FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY apart, booking_id) AS a,
+                         row_number() OVER (PARTITION BY booking_id ORDER BY apart, event_id) AS b
+                  FROM open{k}) WHERE a = 1 AND b = 1),
+        open{k + 1} AS (
+            SELECT * FROM open{k} WHERE event_id NOT IN (SELECT event_id FROM pairs{k})
+                                    AND booking_id NOT IN (SELECT booking_id FROM pairs{k}))"""
+    return text
+
+
 _STAGES = (
     "'SEARCH', 'VIEW_EXPERIENCE', 'CHECK_AVAILABILITY', 'ADD_TO_CART', 'CHECKOUT', 'PURCHASE'"
 )
@@ -947,6 +987,33 @@ def _other() -> dict[str, str]:
             FROM stg_bookings
             WHERE experience_id NOT IN (SELECT experience_id FROM stg_experiences)""",
         "stream_dedup": "SELECT * FROM stg_web_events",
+        "stream_dedup_counts": f"""
+            SELECT * FROM (WITH dealt AS ({_DEALT}),
+            batches AS (
+                SELECT CASE WHEN part = 0 AND n % 50 = 7 THEN 3 ELSE part END AS batch,
+                       CASE WHEN part = 0 AND n % 50 = 7 THEN 'late' ELSE 'kept' END AS kind FROM dealt
+                UNION ALL
+                SELECT part + 1, 'repeated' FROM dealt WHERE n % 10 = 0 AND part < 3)
+            SELECT batch::BIGINT AS batch, count(*) AS read, count(*) FILTER (kind = 'kept') AS kept,
+                   count(*) FILTER (kind = 'repeated') AS repeated, count(*) FILTER (kind = 'late') AS late
+            FROM batches GROUP BY 1)""",
+        "stream_dedup_late": f"""
+            SELECT * EXCLUDE (n, part) FROM ({_DEALT}) WHERE part = 0 AND n % 50 = 7""",
+        "stream_matched_purchases": f"""
+            SELECT p.*, b.booking_id FROM {_PURCHASES} p JOIN stg_bookings b ON {_NEAR_BOOKING}""",
+        "stream_unmatched_purchases": f"""
+            SELECT p.* FROM {_PURCHASES} p
+            WHERE NOT EXISTS (SELECT 1 FROM stg_bookings b WHERE {_NEAR_BOOKING})""",
+        "purchase_matches": f"""
+            SELECT * FROM (WITH purchase_log AS {_PURCHASES}, {_matching_rounds(4)},
+            pairs AS ({" UNION ALL ".join(f"SELECT * FROM pairs{k}" for k in range(4))})
+            SELECT event_id, booking_id, round(apart / 60000000, 4) AS minutes_apart, 'matched' AS status FROM pairs
+            UNION ALL
+            SELECT event_id, NULL, NULL, 'purchase only' FROM purchase_log
+            WHERE event_id NOT IN (SELECT event_id FROM pairs)
+            UNION ALL
+            SELECT NULL, booking_id, NULL, 'booking only' FROM stg_bookings
+            WHERE booking_id NOT IN (SELECT booking_id FROM pairs))""",
         "stream_daily_stages": """
             SELECT event_timestamp::DATE AS day, event_type,
                    count(DISTINCT session_id) AS sessions

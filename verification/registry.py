@@ -10,7 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from excursio.sources.landing import (
     read_raw,
     write_landing,
 )
-from excursio.shared import shared_folder
+from excursio.shared import shared_folder, write_shared
 from excursio.sources.star_adapter import event_stream, open_warehouse
 from excursio.streaming import events as stream_events
 from excursio.warehouse import Warehouse
@@ -196,6 +196,9 @@ def queries() -> dict[str, Query]:
         "model_leaderboard": on(_leaderboard),
         "champion_gate": on(lambda wh: training.gate(_leaderboard(wh), None)),
     }
+    rules["purchase_matches"] = on(
+        lambda wh: business.purchase_matches(_purchases(wh), wh.table("stg_bookings"))
+    )
     streams = {
         "stream_dedup": _streamed(
             lambda events: stream_events.deduplicated(events, "event_id", "event_timestamp")
@@ -210,6 +213,10 @@ def queries() -> dict[str, Query]:
         stream_prior_cancellations=on(_tracked_cancellations),
         stream_enriched_bookings=on(_enriched_stream),
         stream_late_bookings=on(_late_stream),
+        stream_dedup_counts=on(lambda wh: _deduplicated(wh)[0]),
+        stream_dedup_late=on(lambda wh: _deduplicated(wh)[1]),
+        stream_matched_purchases=on(lambda wh: _matched_stream(wh, "inner")),
+        stream_unmatched_purchases=on(_unmatched_stream),
     )
     loads = {
         "landed_events": on(lambda wh: read_raw(wh.spark, _landed(wh), "web_events")),
@@ -295,6 +302,90 @@ def _in_batches(wh: Warehouse, df: DataFrame, label: str, files: int = 4) -> Dat
     return reader.parquet(place)
 
 
+def _in_order(wh: Warehouse, df: DataFrame, stamp: str, label: str, parts: int = 4) -> DataFrame:
+    """A table as a stream of several batches, one for each stretch of time, in order.
+
+    With a column ``part`` rows come in that part instead.
+    """
+    place = _place(wh, label)
+    if "part" not in df.columns:
+        df = df.withColumn("part", _stretch(df, stamp, parts))
+    df = write_shared(df, label)
+    for part in range(parts):  # one write after the other: files are read in the order of their times
+        df.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(place)
+    reader = wh.spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(place)
+
+
+def _stretch(df: DataFrame, stamp: str, parts: int) -> Column:
+    """Which of ``parts`` equal stretches of the table's time a row is in."""
+    micros = F.unix_micros(F.col(stamp).cast("timestamp"))
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    return F.expr(f"(unix_micros(CAST({stamp} AS timestamp)) - {low or 0}) * {parts} div {(high or 0) - (low or 0) + 1}")
+
+
+def _deduplicated(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Events of four stretches; a tenth comes again in the next one, some of the first only in the last."""
+    events = wh.source("web_events")
+    number = F.substring("event_id", 4, 20).cast("bigint")
+    dealt = events.withColumn("part", _stretch(events, "event_timestamp", 4))
+    held_back = (F.col("part") == 0) & (number % 50 == 7)
+    again = dealt.filter((number % 10 == 0) & (F.col("part") < 3)).withColumn("part", F.col("part") + 1)
+    dealt = dealt.withColumn("part", F.when(held_back, F.lit(3)).otherwise(F.col("part"))).unionByName(again)
+    place = _place(wh, "dedup")
+    days = events.agg(F.datediff(F.max("event_timestamp"), F.min("event_timestamp"))).first()[0]
+    stream_events.deduplicate_batches(
+        _in_order(wh, dealt, "event_timestamp", "events"),
+        place,
+        f"{place}/checkpoint",
+        "event_id",
+        "event_timestamp",
+        days // 4 + 2,
+    )
+    counts = wh.spark.read.parquet(f"{place}/counts")
+    late = wh.spark.read.parquet(f"{place}/late").drop("batch")
+    return counts.select(F.col("batch").cast("bigint"), "read", "kept", "repeated", "late"), late
+
+
+def _purchases(wh: Warehouse) -> DataFrame:
+    """The log's purchases, and those that some bookings left: most within the hour, some later."""
+    logged = wh.table("stg_web_events").filter("event_type = 'PURCHASE'")
+    columns = ["event_id", "customer_id", "experience_id", "event_timestamp", "event_type"]
+    number = F.substring("booking_id", 2, 20).cast("bigint")
+    sold = wh.table("stg_bookings").filter((number % 3 == 0) & F.col("customer_id").isNotNull())
+    left = sold.select(
+        F.concat(F.lit("EVT-"), "booking_id").alias("event_id"),
+        "customer_id",
+        "experience_id",
+        (F.col("booking_timestamp") + F.make_dt_interval(mins=(number % 80).cast("int") - 10)).alias("event_timestamp"),
+        F.lit("PURCHASE").alias("event_type"),
+    )
+    return logged.select(*columns).unionByName(left)
+
+
+def _matched_stream(wh: Warehouse, how: str) -> DataFrame:
+    """Purchases and bookings as two streams in the order of time, joined."""
+    columns = ["booking_id", "customer_id", "experience_id", "booking_timestamp"]
+    bought, booked = _purchases(wh), wh.table("stg_bookings").select(*columns)
+    # Something much later on both sides, as any running stream has: it releases what is unmatched.
+    last = F.lit(dt.datetime(2100, 1, 1)).cast("timestamp_ntz")
+    closing = wh.spark.range(1).select(F.lit("end").alias("id"), last.alias("at"))
+    bought_end = closing.selectExpr("id AS event_id", "id AS customer_id", "id AS experience_id", "at AS event_timestamp", "'PURCHASE' AS event_type")
+    booked_end = closing.selectExpr("id AS booking_id", "'no one' AS customer_id", "id AS experience_id", "at AS booking_timestamp")
+    streams = []
+    for df, end, stamp in ((bought, bought_end, "event_timestamp"), (booked, booked_end, "booking_timestamp")):
+        dealt = df.withColumn("part", _stretch(df, stamp, 3)).unionByName(end.withColumn("part", F.lit(3).cast("bigint")))
+        streams.append(_in_order(wh, dealt, stamp, "joined"))
+    place = _place(wh, "matched")
+    joined = stream_events.matched_purchases(*streams, how=how)
+    stream_events.append_to(joined, f"{place}/rows", f"{place}/checkpoint")
+    return wh.spark.read.schema(joined.schema).parquet(f"{place}/rows").filter("event_id <> 'end'")
+
+
+def _unmatched_stream(wh: Warehouse) -> DataFrame:
+    return _matched_stream(wh, "leftOuter").filter("booking_id is null").drop("booking_id")
+
+
 def _booking_stream(wh: Warehouse) -> DataFrame:
     """Deduplicated bookings as a stream over the files they were written to."""
     return _in_batches(wh, wh.table("stg_bookings"), "bookings")

@@ -1,8 +1,9 @@
 """Data-quality operators.
 
-Every check can list its violating rows and count them. Counts of row-level checks on one
-table share a single aggregate; key checks count per key before anything is compared, so a
-hot key is one row by then. NULL passes unless a check says otherwise.
+Every check can list its violating rows. All checks of a suite are counted together: each table is
+read once and gives, for every check it takes part in, the keys to count or a mark for a broken row;
+one grouping by check and key then answers unique, reference and row checks alike. Keys are summed
+before the shuffle, so a hot key is one row by then. NULL passes unless a check says otherwise.
 """
 
 from __future__ import annotations
@@ -65,10 +66,25 @@ class Check:
         counted = table.dropna("any", subset=list(self.columns)) if self.kind == "unique" else table
         return counted.groupBy(*self.columns).agg(row_count("n_rows")).filter("n_rows > 1")
 
-    def _count(self, tables: Tables) -> DataFrame:
-        found = self.violations(tables)
-        rows = F.coalesce(F.sum("n_rows"), F.lit(0)) if self.kind == "relationships" else None
-        return found.agg((F.count(F.lit(1)) if rows is None else rows).alias("violations"))
+    def probes(self) -> list[tuple[str, Column, Column]]:
+        """What the check counts: (table, key or null for none, whether its rows are own or known ones)."""
+        key = _key([F.col(c) for c in self.columns])
+        own, known = F.lit(True), F.lit(False)
+        if self.kind in ROW_KINDS:
+            return [(self.table, F.when(self.broken(), F.lit("")), own)]
+        if self.kind == "unique_combination":
+            return [(self.table, key, own)]
+        present = F.when(F.greatest(*[F.col(c).isNull() for c in self.columns], F.lit(False)), None).otherwise(key)
+        if self.kind == "unique":
+            return [(self.table, present, own)]
+        field = F.col(self.field)
+        return [(self.table, present, own), (self.parent, F.when(field.isNotNull(), _key([field])), known)]
+
+    def found(self) -> Column:
+        """Violations, from the sums over the check's keys."""
+        if self.kind in ROW_KINDS:
+            return F.col("rows")
+        return F.col("unknown_rows" if self.kind == "relationships" else "repeated_keys")
 
     def labels(self) -> list[Column]:
         return [
@@ -79,28 +95,34 @@ class Check:
         ]
 
 
+def _key(columns: Sequence[Column]) -> Column:
+    """One text for a key; NULL in a part of it is a value of its own."""
+    return F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns])
+
+
 def summarise(tables: Tables, checks: Iterable[Check]) -> DataFrame:
-    """One row per check: check, table, column, severity, violations."""
-    by_table: dict[str, list[Check]] = {}
-    for check in checks:
-        by_table.setdefault(check.table, []).append(check)
-    parts: list[DataFrame] = []
-    for table, group in by_table.items():
-        row_level = [c for c in group if c.kind in ROW_KINDS]
-        if row_level:
-            parts.append(_row_level_summary(tables(table), row_level))
-        for check in group:
-            if check.kind not in ROW_KINDS:
-                parts.append(check._count(tables).select(*check.labels(), "violations"))
-    return union_all(parts)
-
-
-def _row_level_summary(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    counts = df.agg(*[F.count_if(c.broken()).alias(f"v{i}") for i, c in enumerate(checks)])
-    rows = F.array(
-        *[F.struct(*c.labels(), F.col(f"v{i}").alias("violations")) for i, c in enumerate(checks)]
+    """One row per check: check, table, column, severity, violations. Every table is read once."""
+    checks = list(checks)
+    entries: dict[str, list[Column]] = {}
+    for number, check in enumerate(checks):
+        for table, key, own in check.probes():
+            entry = F.struct(F.lit(number).alias("number"), key.alias("key"), own.alias("own"))
+            entries.setdefault(table, []).append(F.when(key.isNotNull(), entry))
+    parts = [tables(t).select(F.inline(F.array_compact(F.array(*found)))) for t, found in entries.items()]
+    keys = union_all(parts).groupBy("number", "key").agg(F.count_if("own").alias("n"), F.bool_or(~F.col("own")).alias("known"))
+    sums = keys.groupBy("number").agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") > 1).alias("repeated_keys"),
+        F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("unknown_rows"),
     )
-    return counts.select(F.inline(rows))
+    declared = [F.struct(F.lit(i).alias("number"), *c.labels()) for i, c in enumerate(checks)]
+    listed = sums.sparkSession.range(1).select(F.inline(F.array(*declared)))
+    violations = F.lit(None).cast("bigint")
+    for number, check in enumerate(checks):
+        violations = F.when(F.col("number") == number, check.found()).otherwise(violations)
+    counted = sums.select("number", violations.alias("violations"))
+    joined = listed.join(counted, "number", "left")
+    return joined.select("check", "table", "column", "severity", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def enforce(summary: DataFrame) -> list:

@@ -173,3 +173,48 @@ def test_rows_are_matched_once(spark, seed):
     found = joins.matched_once(a, b, ["who", "what"], "a_id", "b_id", "a_time", "b_time", 45)
     assert sorted(map(tuple, found.collect())) == greedy_pairs(left, right, 45)
     assert joins.matched_once(a.limit(0), b, ["who", "what"], "a_id", "b_id", "a_time", "b_time", 45).count() == 0
+
+
+def test_a_suite_reads_every_table_once(spark, tmp_path):
+    from excursio.operators.quality import Check, summarise
+
+    rows = {
+        "parent": ([("a",), ("b",), ("b",), (None,)], "id string"),
+        "child": (
+            [("a", 1, "x"), ("c", 1, None), ("c", 1, None), ("c", -2, "z"), (None, None, "x"), ("b", None, "x")],
+            "id string, n int, kind string",
+        ),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / name))
+    tables = lambda name: spark.read.parquet(str(tmp_path / name))
+    suite = [
+        Check("parent", "unique", ("id",)),
+        Check("parent", "not_null", ("id",)),
+        Check("child", "unique", ("id",)),
+        Check("child", "unique_combination", ("id", "n")),
+        Check("child", "unique_combination", ("kind", "n")),
+        Check("child", "relationships", ("id",), parent="parent", field="id"),
+        Check("child", "accepted_values", ("kind",), values=("x", "y")),
+        Check("child", "expression", ("n",), expression="n > 0"),
+        Check("child", "not_null", ("n",)),
+    ]
+    summary = summarise(tables, suite)
+    found = {(r["table"], r["check"]): r["violations"] for r in summary.collect()}
+    assert list(found.values()) and found == {
+        ("parent", "unique:id"): 1,
+        ("parent", "not_null:id"): 1,
+        ("child", "unique:id"): 1,
+        ("child", "unique_combination:id,n"): 1,
+        ("child", "unique_combination:kind,n"): 2,
+        ("child", "relationships:id"): 3,
+        ("child", "accepted_values:kind"): 1,
+        ("child", "expression:n"): 1,
+        ("child", "not_null:n"): 2,
+    }
+    for check in suite:
+        listed = check.violations(tables)
+        n = listed.agg(F.sum("n_rows")).first()[0] if check.kind == "relationships" else listed.count()
+        assert (n or 0) == found[(check.table, check.name)]
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 2

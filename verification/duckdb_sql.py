@@ -962,8 +962,11 @@ def _other() -> dict[str, str]:
             SELECT booking_id, customer_id, booking_status, prior_cancellations
             FROM ({prior})""",
         "stream_enriched_bookings": """
-            SELECT booking_id, b.experience_id, experience_name, city
-            FROM stg_bookings b JOIN stg_experiences e ON b.experience_id = e.experience_id""",
+            SELECT booking_id,
+                   e.* EXCLUDE (active_flag) REPLACE (round(base_price, 4) AS base_price, round(rating, 4) AS rating),
+                   supplier_name, supplier_type, round(commission_rate, 4) AS commission_rate, supplier_status
+            FROM stg_bookings b JOIN stg_experiences e ON b.experience_id = e.experience_id
+            JOIN stg_suppliers s ON e.supplier_id = s.supplier_id""",
         "stream_late_bookings": """
             SELECT booking_id, booking_timestamp, experience_date FROM stg_bookings
             WHERE booking_timestamp >= experience_date::TIMESTAMP""",

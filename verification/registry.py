@@ -393,18 +393,17 @@ def _booking_stream(wh: Warehouse) -> DataFrame:
 
 def _tracked_cancellations(wh: Warehouse) -> DataFrame:
     place = _place(wh, "tracked")
-    out = f"{place}/rows"
-    stream_events.track_cancellations(
-        _booking_stream(wh), out, f"{place}/totals", f"{place}/checkpoint"
-    )
-    rows = stream_events.tracked_cancellations(wh.spark, out)
-    return rows.select("booking_id", "customer_id", "booking_status", "prior_cancellations")
+    stream_events.track_cancellations(_booking_stream(wh), f"{place}/rows", f"{place}/checkpoint")
+    statuses = wh.table("stg_bookings").select("booking_id", "booking_status")
+    return stream_events.tracked_cancellations(wh.spark, f"{place}/rows").join(statuses, "booking_id")
 
 
 def _enriched_stream(wh: Warehouse) -> DataFrame:
-    catalog = wh.table("stg_experiences").select("experience_id", "experience_name", "city")
-    stream = stream_events.enriched(_booking_stream(wh), catalog)
-    stream = stream.select("booking_id", "experience_id", "experience_name", "city")
+    suppliers = wh.table("stg_suppliers").select("supplier_id", "supplier_name", "supplier_type", "commission_rate", "supplier_status")
+    experiences = wh.table("stg_experiences").drop("active_flag")
+    # As in the batch details, a booking without a known supplier isn't enriched.
+    stream = stream_events.enriched(_booking_stream(wh), experiences.join(suppliers, "supplier_id"))
+    stream = stream.select("booking_id", *experiences.columns, *suppliers.drop("supplier_id").columns)
     place = _place(wh, "enriched")
     stream_events.append_to(stream, f"{place}/rows", f"{place}/checkpoint")
     return wh.spark.read.schema(stream.schema).parquet(f"{place}/rows")

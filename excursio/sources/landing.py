@@ -363,14 +363,14 @@ def _with_file(lines: DataFrame) -> DataFrame:
     return lines.withColumns({_FILE: meta["file_path"], _SIZE: meta["file_size"], _MODIFIED: meta["file_modification_time"]})
 
 
-def write_landing(df: DataFrame, lake: Lake, table: str, day_column: str) -> None:
+def write_landing(df: DataFrame, lake: Lake, table: str, day: str | Column) -> None:
     """Hand over a frame as day-partitioned CSV files, with every value as Spark prints it.
 
     The CSV writer's own timestamp format stops at milliseconds.
     """
     texts = [F.col(c).cast("string").alias(c) for c in df.columns]
-    dated = df.select(*texts, F.to_date(day_column).alias("dt"))
-    writer = dated.write.mode("append").partitionBy("dt").option("header", True)
+    dated = df.select(*texts, F.to_date(day).alias("dt"))
+    writer = dated.hint("rebalance", "dt").write.mode("append").partitionBy("dt").option("header", True)
     writer.option("escape", '"').csv(lake.files(table))
 
 

@@ -404,6 +404,27 @@ _UNBOOKED = """
           AND l.{left_time} = r.{right_time})"""
 
 
+#: Bookings as files with dirt in them, and why a row is refused (NULL: it isn't).
+_DIRTY = """
+    SELECT * EXCLUDE (unread, place),
+           nullif(concat_ws('; ', unread, CASE WHEN NOT coalesce(booking_amount >= 0, false) THEN 'rule: booking_amount >= 0' END,
+                            CASE WHEN place > 1 AND unread = '' THEN 'rule: unique booking_id' END)[
+               CASE WHEN unread = '' THEN 3 ELSE 1 END:], '') AS reason
+    FROM (
+        SELECT *, row_number() OVER (
+                   PARTITION BY booking_id
+                   ORDER BY unread <> '', booking_timestamp NULLS LAST, customer_id NULLS FIRST, experience_id,
+                            experience_date, number_of_guests, ticket_price, discount_amount,
+                            booking_amount NULLS FIRST, booking_channel, currency NULLS FIRST, lead_time_days,
+                            discount_pct, booking_status, payment_status) AS place
+        FROM (
+            SELECT * REPLACE (CASE WHEN n % 103 <> 0 THEN booking_amount END AS booking_amount,
+                              CASE WHEN n % 107 <> 0 THEN customer_id END AS customer_id,
+                              CASE WHEN n % 109 <> 0 THEN currency END AS currency),
+                   concat_ws('; ', CASE WHEN n % 113 = 0 THEN 'booking_timestamp: yesterday' END,
+                             CASE WHEN n % 101 = 0 THEN 'number_of_guests: many' END) AS unread
+            FROM (SELECT *, substr(booking_id, 2)::BIGINT AS n FROM raw_bookings)
+            JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR n % 127 = 0))"""
 _PURCHASES = """(
     SELECT event_id, customer_id, experience_id, event_timestamp
     FROM stg_web_events WHERE event_type = 'PURCHASE'
@@ -979,6 +1000,17 @@ def _other() -> dict[str, str]:
             SELECT event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
                    0::BIGINT AS rejected_rows, true AS complete
             FROM raw_web_events GROUP BY 1""",
+        "rejects_by_reason": f"""
+            SELECT reason, count(*) AS n_rows FROM ({_DIRTY}) WHERE reason IS NOT NULL GROUP BY 1""",
+        "rejects_by_day": f"""
+            SELECT date_trunc('year', experience_date)::DATE AS dt, count(*) AS file_rows, count(*) FILTER (reason IS NULL) AS loaded_rows,
+                   count(reason) AS rejected_rows, true AS complete
+            FROM ({_DIRTY}) GROUP BY 1""",
+        "bookings_after_rejects": f"""
+            SELECT * EXCLUDE (n, copy, reason) REPLACE (
+                       round(ticket_price, 4) AS ticket_price, round(discount_amount, 4) AS discount_amount,
+                       round(booking_amount, 4) AS booking_amount, round(discount_pct, 4) AS discount_pct)
+            FROM ({_DIRTY}) WHERE reason IS NULL""",
         "interleaved_loads": """
             SELECT load_order, event_timestamp::DATE AS dt, count(*) AS file_rows, count(*) AS loaded_rows,
                    0::BIGINT AS rejected_rows, true AS complete

@@ -24,10 +24,12 @@ from excursio.schemas import RAW_SCHEMAS, columns
 from excursio.session import configure
 from excursio.sources import state
 from excursio.sources.landing import (
+    QUARANTINE,
     Lake,
     backfill,
     ingest,
     load_reconciliation,
+    read_quarantine,
     read_raw,
     write_landing,
 )
@@ -226,6 +228,9 @@ def queries() -> dict[str, Query]:
         "repeated_loads": on(_loaded_again),
         "interleaved_loads": on(_interleaved_loads),
         "quarantined_bookings": on(_quarantined),
+        "rejects_by_reason": on(lambda wh: _dirty_landing(wh)[0]),
+        "rejects_by_day": on(lambda wh: _dirty_landing(wh)[1]),
+        "bookings_after_rejects": on(lambda wh: _dirty_landing(wh)[2]),
     }
     groups = (models, dashboard, rules, lookups, quality, forecasting, streams, loads)
     return {name: query for group in groups for name, query in group.items()}
@@ -260,6 +265,28 @@ def _loaded_again(wh: Warehouse) -> DataFrame:
     return load_reconciliation(wh.spark, lake, "web_events")
 
 
+def _dirty_landing(wh: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bookings as files with empty tokens, unreadable values, broken rules and repeats, loaded in quarantine mode."""
+    place = _place(wh, "landing")
+    lake = Lake(f"{place}/files", f"{place}/lake")
+    number = F.substring("booking_id", 2, 20).cast("bigint")
+    texts = wh.source("bookings").select(*[F.col(c).cast("string").alias(c) for c in columns("bookings")])
+    dirt = {
+        "booking_timestamp": (113, "yesterday"),
+        "number_of_guests": (101, "many"),
+        "booking_amount": (103, "NULL"),
+        "customer_id": (107, "null"),
+        "currency": (109, ""),
+    }
+    dirty = texts.withColumns({c: F.when(number % n == 0, F.lit(t)).otherwise(F.col(c)) for c, (n, t) in dirt.items()})
+    again = dirty.filter(number % 127 == 0)
+    write_landing(dirty.unionByName(again), lake, "bookings", F.trunc("experience_date", "year"))
+    ingest(wh.spark, lake, "bookings", on_violation=QUARANTINE)
+    refused = read_quarantine(wh.spark, lake, "bookings")
+    by_reason = refused.groupBy("reason").agg(F.count("*").alias("n_rows"))
+    return by_reason, load_reconciliation(wh.spark, lake, "bookings"), read_raw(wh.spark, lake, "bookings")
+
+
 def _interleaved_loads(wh: Warehouse) -> DataFrame:
     """Backfills, day loads and loads of all days in three orders, each over a lake of its own."""
     place = _place(wh, "landing")

@@ -919,6 +919,11 @@ def _forecasting() -> dict[str, str]:
                    count(*) AS n_rows, min(feature_date) AS first_day,
                    max(feature_date) AS last_day
             FROM ({_TRAINING}) GROUP BY 1""",
+        "gate_history": f"""
+            SELECT r.*, (SELECT count(*) FROM ({_TRAINING}) WHERE feature_date > {_LAST_DAY}) AS n_test_rows
+            FROM (VALUES ('run-1', 'ridge', false, true, true), ('run-2', 'ridge', true, true, true),
+                         ('run-3', 'ridge', true, false, true))
+                 AS r(run, candidate, had_champion, promoted, loaded_agrees)""",
         "baseline_scores": " UNION ALL ".join([
             _baseline("last_value", "bookings_prev_1d"),
             _baseline("mean_7d", "bookings_prev_7d_avg"),

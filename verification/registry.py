@@ -197,6 +197,7 @@ def queries() -> dict[str, Query]:
         "next_day_features": on(training.next_day_features, 8, avg_price=7),
         "model_leaderboard": on(_leaderboard),
         "champion_gate": on(lambda wh: training.gate(_leaderboard(wh), None)),
+        "gate_history": on(_gate_history),
     }
     rules["purchase_matches"] = on(
         lambda wh: business.purchase_matches(_purchases(wh), wh.table("stg_bookings"))
@@ -501,3 +502,24 @@ def _baselines(wh: Warehouse) -> DataFrame:
 
 def _leaderboard(wh: Warehouse) -> DataFrame:
     return training.fit_all(*training.split_by_time(_training_rows(wh)))[1]
+
+
+def _gate_history(wh: Warehouse) -> DataFrame:
+    """Three runs into one registry: a ridge that can only say the mean, the published one, and that again.
+
+    After each run the champion is loaded from its saved pipeline and scored once more.
+    """
+    train, test = training.split_by_time(_training_rows(wh))
+    folder, found = _place(wh, "models"), []
+    for run, alpha in (("run-1", 1e12), ("run-2", 1.0), ("run-3", 1.0)):
+        fitted, scores = training.fit_all(train, test, training.TrainingOptions(alpha=alpha), ["ridge"])
+        decision = training.gate(scores, training.read_registry(wh.spark, folder)).first()
+        registry = training.save_run(folder, run, fitted, scores, decision["promote"])
+        crowned = registry.filter("is_champion").agg(F.max_by("mae", "trained_at")).first()[0]
+        loaded = training.champion(registry).transform(training.as_label(test))
+        again = training.score(loaded, training.clipped(), "loaded").first()
+        agrees = abs(again["mae"] - crowned) < 1e-9
+        had = decision["champion_mae"] is not None
+        found.append((run, decision["candidate_name"], had, decision["promote"], agrees, again["n"]))
+    schema = "run string, candidate string, had_champion boolean, promoted boolean, loaded_agrees boolean, n_test_rows bigint"
+    return wh.spark.createDataFrame(found, schema)

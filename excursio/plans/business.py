@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from excursio.functions import rules
@@ -49,10 +49,14 @@ def expected_demand(wh: Warehouse, scale: float = rules.DEMAND_SCALE) -> DataFra
 
     Popularity is the experience's mean daily bookings relative to the overall mean.
     """
-    days = wh.materialise("experience_days").table("experience_days")
-    overall = days.agg(F.avg("total_bookings")).scalar()
-    own = Window.partitionBy("experience_id")  # one row per calendar day
-    popularity = ratio(F.avg("total_bookings").over(own), overall)
+    needed = ["experience_id", "experience_date", "total_bookings", "avg_price", "base_price", "rating"]
+    days = wh.settled(wh.table("experience_days").select(*needed), "demand-days", "experience_days")
+    means = days.groupBy("experience_id").agg(
+        F.avg("total_bookings").alias("own_mean"), F.sum("total_bookings").alias("total"), F.count("total_bookings").alias("n")
+    )
+    overall = means.agg(F.sum("total") / F.sum("n")).scalar()
+    days = days.join(means.select("experience_id", "own_mean"), "experience_id")
+    popularity = ratio(F.col("own_mean"), overall)
     demand = rules.expected_demand(
         popularity,
         F.col("experience_date"),
@@ -317,17 +321,31 @@ def unmatched_purchases(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
 
 
 def purchase_reconciliation(wh: Warehouse) -> DataFrame:
-    """One row: purchases, bookings, what is unmatched on each side, whether counts agree."""
-    lone_purchases, lone_bookings = unmatched_purchases(wh)
-    purchase = F.col("event_type") == "PURCHASE"
-    purchases = wh.table("stg_web_events").agg(count_where(purchase)).scalar()
-    row = wh.table("stg_bookings").agg(row_count("bookings"))
-    return row.select(
-        purchases.alias("purchases"),
-        "bookings",
-        lone_purchases.agg(row_count()).scalar().alias("purchases_without_booking"),
-        lone_bookings.agg(row_count()).scalar().alias("bookings_without_purchase"),
-        (purchases == F.col("bookings")).alias("counts_agree"),
+    """One row: purchases, bookings, what is unmatched on each side, whether counts agree.
+
+    Both sides are counted per customer, experience and time in one grouping.
+    """
+    keys = ["customer_id", "experience_id", "booking_timestamp"]
+    bought = wh.table("stg_web_events").filter(F.col("event_type") == "PURCHASE")
+    bought = bought.withColumnRenamed("event_timestamp", "booking_timestamp").select(*keys, F.lit(True).alias("bought"))
+    booked = wh.table("stg_bookings").select(*keys, F.lit(False).alias("bought"))
+    sides = bought.unionByName(booked).groupBy(*keys).agg(
+        F.count_if("bought").alias("purchases"), F.count_if(~F.col("bought")).alias("bookings")
+    )
+    unknown = F.col(keys[0]).isNull() | F.col(keys[1]).isNull() | F.col(keys[2]).isNull()
+
+    def alone(side: str, other: str) -> Column:
+        return F.sum(F.when(unknown | (F.col(other) == 0), F.col(side)).otherwise(0))
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(rows, F.lit(0))
+
+    return sides.agg(
+        total(F.sum("purchases")).alias("purchases"),
+        total(F.sum("bookings")).alias("bookings"),
+        total(alone("purchases", "bookings")).alias("purchases_without_booking"),
+        total(alone("bookings", "purchases")).alias("bookings_without_purchase"),
+        (total(F.sum("purchases")) == total(F.sum("bookings"))).alias("counts_agree"),
     )
 
 

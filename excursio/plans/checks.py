@@ -258,6 +258,7 @@ def raise_if_invalid(summary: DataFrame, label: str) -> None:
 
 def invariants(wh: Warehouse) -> DataFrame:
     """The six cross-table invariants: (invariant, violations)."""
+    wh.materialise("stg_bookings")  # three of them read it
 
     def orphans(child: str, column: str, parent: str) -> DataFrame:
         found = missing_parents(wh.table(child), [column], wh.table(parent), [column])

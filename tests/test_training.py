@@ -111,6 +111,19 @@ def test_ridge_equals_the_closed_form(demand, parts):
     assert linear.intercept == pytest.approx(expected, abs=1e-8)
 
 
+def test_weights_by_name_give_the_prediction(demand, parts):
+    train, test = parts
+    model = training.fit_all(train, test, QUICK, only=["ridge"])[0]["ridge"]
+    scored = model.transform(training.as_label(test))
+    weights = {r["feature"]: r["weight"] for r in training.feature_weights(model, scored).collect()}
+    assert {"capacity", "city=Paris", "city=Rome", "month=1", "intercept"} <= set(weights)
+    assert weights["quarter=1"] == 0.0  # the same in all training rows
+    for row in scored.limit(20).collect():
+        numbers = sum(weights[c] * row[c] for c in training.NUMERIC_FEATURES)
+        groups = sum(weights.get(f"{c}={row[c]}", 0.0) for c in training.CATEGORICAL_FEATURES)
+        assert numbers + groups + weights["intercept"] == pytest.approx(row["prediction"], abs=1e-8)
+
+
 def test_unseen_category_becomes_zeros(demand, parts):
     train, _ = parts
     from pyspark.ml import Pipeline

@@ -902,37 +902,83 @@ def _quality() -> dict[str, str]:
     }
 
 
+_NUMERIC = (
+    "capacity rating base_price avg_price bookings_prev_1d bookings_prev_7d_avg "
+    "bookings_prev_28d_avg utilization_prev_7d_avg cancellation_rate_prev_28d_avg "
+    "days_of_prior_history is_weekend"
+).split()
+
+
+def _cells(rows: str) -> str:
+    """The matrix of ``rows`` as (r, f, x) without the zeros of the categories."""
+    numbers = [f"SELECT r, '{c}' AS f, coalesce({c}::DOUBLE, 0) AS x FROM {rows}" for c in _NUMERIC]
+    categories = [
+        f"SELECT r, '{c}=' || {c} AS f, 1::DOUBLE AS x FROM {rows} WHERE {c} IS NOT NULL"
+        for c in ("city", "category", "day_name", "month", "quarter")
+    ]
+    return f"SELECT * FROM ({' UNION ALL '.join([*numbers, *categories])})"
+
+
+def _ridge(result: str, scored: str) -> str:
+    """``result`` over ``weights`` (f, w) of a ridge with penalty 1 and ``predicted`` (the rows of ``scored``, p).
+
+    The normal equations of the centred columns are solved by elimination, one column a step: with
+    the penalty their matrix is positive definite, so no step divides by zero.
+    """
+    return f"""
+        SELECT * FROM (WITH RECURSIVE
+            train AS MATERIALIZED (
+                SELECT row_number() OVER () AS r, * FROM ({_TRAINING}) WHERE feature_date <= {_LAST_DAY}),
+            cells AS MATERIALIZED (
+                {_cells('train')} UNION ALL SELECT r, '~label', target_bookings::DOUBLE FROM train),
+            means AS MATERIALIZED (
+                SELECT f, sum(x) / (SELECT count(*) FROM train) AS mean, row_number() OVER (ORDER BY f) AS i
+                FROM cells GROUP BY f),
+            products AS MATERIALIZED (
+                SELECT a.f AS f, b.f AS g, sum(a.x * b.x) AS s FROM cells a JOIN cells b USING (r) GROUP BY 1, 2),
+            equations AS (
+                SELECT list(line ORDER BY i) AS m FROM (
+                    SELECT a.i, list(coalesce(s, 0) - (SELECT count(*) FROM train) * a.mean * b.mean
+                                     + (a.i = b.i)::INT ORDER BY b.i) AS line
+                    FROM means a CROSS JOIN means b LEFT JOIN products p ON p.f = a.f AND p.g = b.f
+                    WHERE a.f <> '~label' GROUP BY a.i)),
+            solved(k, m) AS (
+                SELECT 1, m FROM equations
+                UNION ALL
+                SELECT k + 1, list_transform(m, lambda line, i: CASE
+                    WHEN i = k THEN list_transform(line, lambda x: x / line[k])
+                    ELSE list_transform(line, lambda x, j: x - line[k] / top[k] * top[j]) END)
+                FROM (SELECT k, m, m[k] AS top FROM solved WHERE k <= len(m))),
+            slopes AS MATERIALIZED (
+                SELECT f, mean, m[i][-1] AS w FROM means, (SELECT m FROM solved ORDER BY k DESC LIMIT 1)
+                WHERE f <> '~label'),
+            weights AS MATERIALIZED (
+                SELECT f, w FROM slopes
+                UNION ALL
+                SELECT 'intercept', (SELECT mean FROM means WHERE f = '~label') - sum(mean * w) FROM slopes),
+            scored AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM ({scored})),
+            predicted AS (
+                SELECT scored.*, greatest(p, 0) AS p
+                FROM scored JOIN (
+                    SELECT r, sum(x * w) + (SELECT w FROM weights WHERE f = 'intercept') AS p
+                    FROM ({_cells('scored')}) JOIN weights USING (f) GROUP BY r) USING (r))
+            {result})"""
+
+
 def _forecasting() -> dict[str, str]:
-    numeric = (
-        "capacity rating base_price avg_price bookings_prev_1d bookings_prev_7d_avg "
-        "bookings_prev_28d_avg utilization_prev_7d_avg cancellation_rate_prev_28d_avg "
-        "days_of_prior_history is_weekend"
-    ).split()
+    numeric = _NUMERIC
     window = (
         "avg({c}) OVER (PARTITION BY experience_id ORDER BY feature_date "
         "ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     )
     day = "(SELECT max(feature_date) + 1 FROM ml_base_features)"
-    return {
-        "chronological_split": f"""
-            SELECT CASE WHEN feature_date <= {_LAST_DAY} THEN 'train' ELSE 'test' END AS part,
-                   count(*) AS n_rows, min(feature_date) AS first_day,
-                   max(feature_date) AS last_day
-            FROM ({_TRAINING}) GROUP BY 1""",
-        "gate_history": f"""
-            SELECT r.*, (SELECT count(*) FROM ({_TRAINING}) WHERE feature_date > {_LAST_DAY}) AS n_test_rows
-            FROM (VALUES ('run-1', 'ridge', false, true, true), ('run-2', 'ridge', true, true, true),
-                         ('run-3', 'ridge', true, false, true))
-                 AS r(run, candidate, had_champion, promoted, loaded_agrees)""",
-        "baseline_scores": " UNION ALL ".join([
-            _baseline("last_value", "bookings_prev_1d"),
-            _baseline("mean_7d", "bookings_prev_7d_avg"),
-            _baseline("mean_28d", "bookings_prev_28d_avg"),
-        ]),
-        "imputed_feature_counts": "SELECT " + ", ".join(
-            f"count(*) FILTER ({c} IS NULL) AS {c}" for c in numeric
-        ) + f" FROM ({_TRAINING})",
-        "next_day_features": f"""
+    test = f"SELECT * FROM ({_TRAINING}) WHERE feature_date > {_LAST_DAY}"
+    baselines = " UNION ALL ".join([
+        _baseline("last_value", "bookings_prev_1d"),
+        _baseline("mean_7d", "bookings_prev_7d_avg"),
+        _baseline("mean_28d", "bookings_prev_28d_avg"),
+    ])
+    next_day = f"""
             SELECT * REPLACE (round(rating, 8) AS rating) FROM (
                 SELECT *, lag(target_bookings) OVER w AS bookings_prev_1d,
                        round({window.format(c="target_bookings", n=7)}, 8)
@@ -954,7 +1000,32 @@ def _forecasting() -> dict[str, str]:
                            NULL, NULL, NULL, NULL
                     FROM dim_experience, dim_date WHERE active_flag AND date_day = {day})
                 WINDOW w AS (PARTITION BY experience_id ORDER BY feature_date))
-            WHERE feature_date = {day}""",
+            WHERE feature_date = {day}"""
+    return {
+        "chronological_split": f"""
+            SELECT CASE WHEN feature_date <= {_LAST_DAY} THEN 'train' ELSE 'test' END AS part,
+                   count(*) AS n_rows, min(feature_date) AS first_day,
+                   max(feature_date) AS last_day
+            FROM ({_TRAINING}) GROUP BY 1""",
+        "gate_history": f"""
+            SELECT r.*, (SELECT count(*) FROM ({_TRAINING}) WHERE feature_date > {_LAST_DAY}) AS n_test_rows
+            FROM (VALUES ('run-1', 'ridge', false, true, true), ('run-2', 'ridge', true, true, true),
+                         ('run-3', 'ridge', true, false, true))
+                 AS r(run, candidate, had_champion, promoted, loaded_agrees)""",
+        "baseline_scores": baselines,
+        "imputed_feature_counts": "SELECT " + ", ".join(
+            f"count(*) FILTER ({c} IS NULL) AS {c}" for c in numeric
+        ) + f" FROM ({_TRAINING})",
+        "next_day_features": next_day,
+        "ridge_leaderboard": _ridge(f"""
+            SELECT 'ridge' AS model, round(avg(abs(target_bookings - p)), 3) AS mae,
+                   round(sqrt(avg((target_bookings - p) ** 2)), 3) AS rmse, count(*) AS n
+            FROM predicted UNION ALL SELECT model, mae, rmse, n FROM ({baselines})""", test),
+        "ridge_weights": _ridge("SELECT f AS feature, round(w, 6) AS weight FROM weights", test),
+        "next_day_forecast": _ridge(
+            "SELECT experience_id, feature_date, round(p, 6) AS predicted_bookings FROM predicted",
+            next_day.replace(", 8)", ", 15)"),
+        ),
     }
 
 

@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -198,6 +199,9 @@ def queries() -> dict[str, Query]:
         "model_leaderboard": on(_leaderboard),
         "champion_gate": on(lambda wh: training.gate(_leaderboard(wh), None)),
         "gate_history": on(_gate_history),
+        "ridge_leaderboard": on(_ridge_leaderboard),
+        "ridge_weights": on(_ridge_weights, 6),
+        "next_day_forecast": on(_next_day_forecast, 6),
     }
     rules["purchase_matches"] = on(
         lambda wh: business.purchase_matches(_purchases(wh), wh.table("stg_bookings"))
@@ -504,6 +508,27 @@ def _leaderboard(wh: Warehouse) -> DataFrame:
     return training.fit_all(*training.split_by_time(_training_rows(wh)))[1]
 
 
+def _fitted_ridge(wh: Warehouse) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """The published ridge, its leaderboard, and the rows it was tested on."""
+    train, test = training.split_by_time(_training_rows(wh))
+    fitted, board = training.fit_all(train, test, only=["ridge"])
+    return fitted["ridge"], board, test
+
+
+def _ridge_leaderboard(wh: Warehouse) -> DataFrame:
+    _, board, test = _fitted_ridge(wh)
+    return training.leaderboard(board.unionByName(training.baseline_scores(test)))
+
+
+def _ridge_weights(wh: Warehouse) -> DataFrame:
+    model, _, test = _fitted_ridge(wh)
+    return training.feature_weights(model, model.transform(training.as_label(test)))
+
+
+def _next_day_forecast(wh: Warehouse) -> DataFrame:
+    return training.forecast(wh, _fitted_ridge(wh)[0])
+
+
 def _gate_history(wh: Warehouse) -> DataFrame:
     """Three runs into one registry: a ridge that can only say the mean, the published one, and that again.
 

@@ -7,8 +7,10 @@ or, if the symbol never followed it, pays the escape ``q/(n+q)`` and asks the ne
 context (n: occurrences, q: distinct followers; no exclusions); below the empty context all
 symbols are alike. The language with the shortest code wins.
 
-A frozen tree's price of a symbol depends on the symbol and the ``order`` symbols before it only,
-so each worker unfolds the trees once into a table of prices and adds up whole batches from it.
+A frozen tree is a sorted array of the runs seen at each depth with their prices, and one of the
+contexts seen with the prices of their escapes; what was never seen takes no room, so the order is
+the same for any alphabet and any number of languages. A symbol's price depends on it and the
+``order`` symbols before it only: each batch walks its distinct runs down the trees once.
 
 Symbols: the bytes of the lower-cased text; every ASCII byte that is no letter counts as a space;
 bytes never seen in training share one symbol.
@@ -16,7 +18,6 @@ bytes never seen in training share one symbol.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +46,6 @@ class LanguageModel:
     grams: np.ndarray
     owners: np.ndarray
     counts: np.ndarray
-    ident: str
 
     @property
     def width(self) -> int:
@@ -71,7 +71,7 @@ def _padded(texts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
 def _count_grams(order: int):
     def count(batches):
         for batch in batches:
-            for lang, rows in batch.groupby("lang"):
+            for owner, rows in batch.groupby("owner"):
                 texts = rows["text"].tolist()
                 for part in textbytes.slices(texts):
                     raw, starts = _padded(texts[part], order)
@@ -83,128 +83,140 @@ def _count_grams(order: int):
                     for start in starts[1:-1]:
                         own[max(start - order, 0) : start] = False
                     found, n = np.unique(gram[own], return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
+                    yield pd.DataFrame({"owner": owner, "gram": found, "n": n})
 
     return count
 
 
-def learn(
-    docs: DataFrame,
-    *,
-    rows_per_language: int = 1500,
-    max_languages: int = 100,
-    max_order: int = 3,
-    table_bytes: int = 192 << 20,
-) -> LanguageModel:
+def learn(docs: DataFrame, *, rows_per_language: int = 1500, max_order: int = 3) -> LanguageModel:
     """Learn from ``lang``, ``text`` and ``doc_id`` of the documents that aren't held out.
 
-    The model is fitted on a bounded sample: the most frequent ``max_languages`` languages, and
-    of each about ``rows_per_language`` documents, drawn by a hash of id and text. Rows with a
-    null language or text teach nothing. The order is the highest, up to ``max_order``, whose
-    table of prices stays within ``table_bytes``.
+    Every language that any of them has is learned, with contexts of up to ``max_order`` bytes (at
+    most 7). The model is fitted on a bounded sample: about ``rows_per_language`` whole documents of
+    each language, drawn by a hash of id and text, so repeated rows are drawn together. Rows with a
+    null language or text teach nothing; an empty table gives a model without languages.
     """
-    workers.ready(docs.sparkSession)
+    if not 0 <= max_order <= 7:
+        raise ValueError("max_order must be between 0 and 7")
+    spark = docs.sparkSession
+    workers.ready(spark)
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    rows = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = known.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in rows)
     if not languages:
         empty = np.zeros(0, np.int64)
-        return LanguageModel([], max_order, empty, empty, empty, empty, uuid.uuid4().hex)
-    rates = F.create_map(*[F.lit(x) for r in rows for x in (r["lang"], rows_per_language / r["count"])])
+        return LanguageModel([], max_order, empty, empty, empty, empty)
+    place = {lang: k for k, lang in enumerate(languages)}
+    rates = spark.createDataFrame(
+        [(r["lang"], place[r["lang"]], rows_per_language / r["count"]) for r in rows], "lang string, owner int, rate double"
+    )
     draw = (F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "text").bitwiseAND(2**40 - 1)) / float(2**40)
-    sample = known.where(draw < rates[F.col("lang")]).select("lang", "text")
+    sample = known.join(rates, "lang").where(draw < F.col("rate")).select("owner", "text")
     grams = (
-        sample.mapInPandas(_count_grams(max_order), "lang string, gram long, n long")
-        .groupBy("lang", "gram")
+        sample.mapInPandas(_count_grams(max_order), "owner int, gram long, n long")
+        .groupBy("owner", "gram")
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    place = {lang: k for k, lang in enumerate(languages)}
-    owners = grams["lang"].map(place).to_numpy(np.int64)
-    codes, counts = grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.int64)
-    symbols = np.unique(codes & 255)
-    if len(symbols) == 0:
-        symbols = np.array([32])
-    symbols = np.union1d(symbols, [32])
-    order = max_order
-    while order > 0 and (len(symbols) + 1) ** (order + 1) * len(languages) * 2 > table_bytes:
-        order -= 1
-    return LanguageModel(languages, order, symbols, codes, owners, counts, uuid.uuid4().hex)
-
-
-def prices(model: LanguageModel) -> np.ndarray:
-    """Price of every run of ``order + 1`` symbols in every language, in parts of a bit."""
-    width, order = model.width, model.order
-    rank = np.full(256, width - 1, np.int64)
-    rank[model.symbols] = np.arange(len(model.symbols))
-    index = np.zeros(len(model.grams), np.int64)
-    for k in range(order, -1, -1):
-        index = index * width + rank[(model.grams >> (8 * k)) & 255]
-    out = np.empty((width ** (order + 1), len(model.languages)), np.uint16)
-    for k in range(len(model.languages)):
-        own = model.owners == k
-        full = np.bincount(index[own], model.counts[own], width ** (order + 1)).astype(np.float32)
-        levels = [full]
-        for _ in range(order):
-            levels.append(levels[-1].reshape(width, -1).sum(0))
-        cost = np.full((1, width), np.log2(width), np.float32)
-        for d in range(order + 1):
-            seen = levels[order - d].reshape(-1, width)
-            total, distinct = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True, dtype=np.float32)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0)
-                longer = np.tile(cost, (width if d else 1, 1))
-                longer += escape
-                found = seen > 0
-                np.copyto(longer, -np.log2(seen / (total + distinct)), where=found)
-            cost = longer
-        out[:, k] = np.minimum(np.rint(cost.reshape(-1) * PARTS), 65535)
-    return out
+    owners, codes, counts = (grams[c].to_numpy(np.int64) for c in ("owner", "gram", "n"))
+    return LanguageModel(languages, max_order, np.union1d(codes & 255, [32]), codes, owners, counts)
 
 
-_UNFOLDED: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+@dataclass
+class Trees:
+    """What workers need of a model. ``levels``: for each language and depth the sorted runs and
+    their prices, and the sorted contexts and the prices of their escapes, in parts of a bit."""
 
+    languages: list[str]
+    order: int
+    base: int
+    levels: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
 
-def _unfolded(model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    if model.ident not in _UNFOLDED:
-        _UNFOLDED.clear()
-        rank = np.full(256, model.width - 1, np.int32)
-        rank[model.symbols] = np.arange(len(model.symbols))
-        _UNFOLDED[model.ident] = (rank, prices(model))
-    return _UNFOLDED[model.ident]
 
+def _parts(bits: np.ndarray) -> np.ndarray:
+    return np.minimum(np.rint(bits * PARTS), 65535).astype(np.uint16)
 
-def code_lengths(model: LanguageModel, texts: list) -> np.ndarray:
+
+def trees(model: LanguageModel) -> Trees:
+    """The frozen context trees of all languages."""
+    kind = np.uint32 if model.order <= 3 else np.uint64
+    levels = []
+    for k in range(len(model.languages)):
+        own = model.owners == k
+        grams, counts = model.grams[own].view(np.uint64), model.counts[own]
+        depths = []
+        for d in range(model.order + 1):
+            runs, where = np.unique(grams & np.uint64(2 ** (8 * (d + 1)) - 1), return_inverse=True)
+            seen = np.bincount(where, counts, len(runs))
+            contexts, context = np.unique(runs >> np.uint64(8), return_inverse=True)
+            total, distinct = np.bincount(context, seen, len(contexts)), np.bincount(context, minlength=len(contexts))
+            paid = _parts(-np.log2(seen / (total + distinct)[context]))
+            depths.append((runs.astype(kind), paid, contexts.astype(kind), _parts(-np.log2(distinct / (total + distinct)))))
+        levels.append(depths)
+    return Trees(model.languages, model.order, round(np.log2(model.width) * PARTS), levels)
+
+
+def _found(array: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value is, or would be, in a sorted array, and whether it is there."""
+    if not len(array):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(array, values), len(array) - 1)
+    return at, array[at] == values
+
+
+def _prices(frozen: Trees, language: int, runs: np.ndarray) -> np.ndarray:
+    """Price of the last symbol of each run of ``order + 1`` after the others."""
+    price = np.zeros(len(runs), np.int64)
+    left = np.arange(len(runs))
+    for d in range(frozen.order, -1, -1):
+        known, paid, contexts, escapes = frozen.levels[language][d]
+        own = runs[left] & runs.dtype.type(2 ** (8 * (d + 1)) - 1)
+        at, there = _found(known, own)
+        price[left[there]] += paid[at[there]]
+        left, own = left[~there], own[~there]
+        at, there = _found(contexts, own >> runs.dtype.type(8))
+        price[left[there]] += escapes[at[there]]
+    price[left] += frozen.base
+    return price
+
+
+def tree_lengths(frozen: Trees, texts: list) -> np.ndarray:
     """Code length of each text in each language, in parts of a bit; one row per text."""
-    rank, table = _unfolded(model)
-    out = np.zeros((len(texts), len(model.languages)), np.int64)
+    order = frozen.order
+    kind = np.uint32 if order <= 3 else np.uint64
+    out = np.zeros((len(texts), len(frozen.languages)), np.int64)
     for part in textbytes.slices(texts, 1 << 19):
-        raw, starts = _padded(texts[part], model.order)
-        codes = rank[raw]
-        size, total = len(codes) - model.order, np.zeros((len(starts) - 1, len(model.languages)), np.int64)
+        raw, starts = _padded(texts[part], order)
+        size, total = len(raw) - order, np.zeros((len(starts) - 1, len(frozen.languages)), np.int64)
         for at in range(0, size, 1 << 19):
             some = min(1 << 19, size - at)
-            index = np.zeros(some, np.int64)
-            for k in range(model.order + 1):
-                index = index * model.width + codes[at + k : at + k + some]
+            run = np.zeros(some, kind)
+            for k in range(order + 1):
+                run = (run << kind(8)) | raw[at + k : at + k + some]
             # A text's own positions begin after its lead; the leads of the later ones are skipped.
-            cost = table[index]
-            lead = np.minimum(np.maximum(starts[:-1] - at - model.order, 0), some)
             first = np.minimum(np.maximum(starts[:-1] - at, 0), some)
-            last = np.minimum(np.maximum(starts[1:] - at - model.order, 0), some)
+            last = np.minimum(np.maximum(starts[1:] - at - order, 0), some)
             full = first < last
-            if full.any():
-                edges = np.empty(2 * full.sum(), np.int64)
-                edges[0::2], edges[1::2] = first[full], last[full]
-                cost = np.concatenate([cost, np.zeros((1, cost.shape[1]), cost.dtype)])
-                total[full] += np.add.reduceat(cost, edges, axis=0, dtype=np.int64)[0::2]
-            del lead
+            if not full.any():
+                continue
+            edges = np.empty(2 * full.sum(), np.int64)
+            edges[0::2], edges[1::2] = first[full], last[full]
+            runs, where = np.unique(run, return_inverse=True)
+            where = np.append(where, len(runs))
+            for k in range(len(frozen.languages)):
+                cost = np.append(_prices(frozen, k, runs), 0)[where]
+                total[full, k] += np.add.reduceat(cost, edges)[0::2]
         out[part] = total
     return out
 
 
+def code_lengths(model: LanguageModel, texts: list) -> np.ndarray:
+    """As ``tree_lengths``, of a model that isn't frozen yet."""
+    return tree_lengths(trees(model), texts)
+
+
 _RESULT = T.StructType(
     [
         T.StructField("lang_pred", T.StringType()),
@@ -220,7 +232,7 @@ def identify(docs: DataFrame, model: LanguageModel, into: str = "language") -> D
     ``score`` is the posterior of the predicted language if all are equally likely beforehand;
     ``bits_per_byte`` is its code length by the text's bytes. A text that is null or has no
     letter, and every text if no language was learned, is ``und`` with score 0 and null bits.
-    Equal code lengths go to the language that sorts first. Other columns are passed on; one
+    Equal code lengths go to the language that sorts first. Very long texts are read whole, in pieces. Other columns are passed on; one
     named ``into`` is replaced. Repeated rows each get their own result.
     """
     undetermined = F.struct(
@@ -231,13 +243,13 @@ def identify(docs: DataFrame, model: LanguageModel, into: str = "language") -> D
     if not model.languages:
         return docs.withColumn(into, undetermined)
     workers.ready(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(trees(model))
 
     @F.pandas_udf(_RESULT)
     def predict(text: pd.Series) -> pd.DataFrame:
         frozen = shared.value
         texts = text.tolist()
-        bits = code_lengths(frozen, texts) / PARTS
+        bits = tree_lengths(frozen, texts) / PARTS
         best = bits.argmin(1)
         least = bits[np.arange(len(bits)), best]
         weights = np.exp2(np.maximum(least[:, None] - bits, -1000))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -67,6 +68,30 @@ def test_code_lengths_equal_a_walk_through_the_contexts(spark):
             assert bits == pytest.approx(brute_code_length(model, text, lang), abs=0.01 + len(text) * 1e-3)
 
 
+def test_two_hundred_languages_in_a_wide_alphabet_keep_order_and_memory(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(200):  # each writes with 14 letters of its own choice of a script of 300
+        letters = [chr(0x400 + int(c)) for c in rng.choice(300, 14, replace=False)]
+        words = ["".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(60)]
+        for n in range(12):
+            rows.append((k * 20 + n, " ".join(rng.choice(words, 80)), f"x{k:03d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert model.order == 3 and len(model.languages) == 200
+    frozen = langid.trees(model)
+    assert sum(a.nbytes for language in frozen.levels for level in language for a in level) < 20 << 20
+    tracemalloc.start()
+    lengths = langid.tree_lengths(frozen, [r[1] for r in rows] * 2)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    right = np.array(model.languages)[lengths[: len(rows)].argmin(1)] == np.array([r[2] for r in rows])
+    assert right.mean() > 0.99
+    for place in (3, 700):
+        bits = lengths[place, 17] / langid.PARTS
+        assert bits == pytest.approx(brute_code_length(model, rows[place][1], "x017"), abs=0.01 + len(rows[place][1]) * 2e-3)
+
+
 def test_language_of_held_out_documents_and_odd_rows(spark):
     docs = corpus.frame(spark, corpus.plain(240) + corpus.odd())
     model = langid.learn(docs)

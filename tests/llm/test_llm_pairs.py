@@ -7,6 +7,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -192,3 +193,28 @@ def test_search_of_few_zero_and_huge_vectors(spark):
     huge = spark.createDataFrame([(0, [3e5, 1.0]), (1, [3e5, 1.0]), (2, [3e5, 2.0])], schema)
     top = impact.best_matches(huge, query).orderBy("rank").collect()
     assert [(r["vec_id"], r["score"]) for r in top] == [(2, 76800000**2 + 256 * 512), (1, 76800000**2 + 256 * 256)]
+
+
+def test_rows_that_share_an_id_are_searched_one_by_one(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(n), [float(x) for x in rng.normal(size=6)]) for n in rng.integers(0, 120, 400)]
+    rows += [rows[0]] * 3 + [(50, [0.5, 0.5]), (50, [0.9, 0.9]), (1, None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    duck = duckdb.connect()
+    duck.register("raw", table.toPandas())
+    duck.execute("CREATE TABLE embeddings AS SELECT vec_id, embedding::DOUBLE[] AS embedding FROM raw")
+    short = "list_resize([CAST(floor"  # the statement takes vectors of one length
+    sql = impact.SQL.replace("[CAST(floor", short).replace("FOR x IN embedding] AS v", "FOR x IN embedding], 6, 0) AS v")
+    wanted = sorted(duck.sql(sql).fetchall())
+    for sizes in ({}, {"candidates_per_block": 90, "queries_per_block": 3}):
+        found = impact.best_matches(table, F.col("vec_id") % 50 == 0, **sizes)
+        assert found.columns == ["query_id", "rank", "vec_id", "score"]
+        assert sorted(tuple(r) for r in found.collect()) == wanted
+
+
+def test_huge_scores_stay_exact(spark):
+    big = 2**29
+    rows = [(0, [float(big // 256), 1 / 256])] + [(n, [float(big // 256), n / 256]) for n in range(1, 40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = impact.best_matches(table, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(n, big * big + n) for n in (39, 38, 37, 36, 35)]

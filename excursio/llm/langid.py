@@ -31,6 +31,8 @@ from excursio.llm import textbytes, workers
 #: Prices are kept in these parts of a bit.
 PARTS = 1024
 UNDETERMINED = "und"
+#: The sampling rates of at most so many languages are broadcast; above, they are joined by a shuffle.
+BROADCAST = 200_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -112,6 +114,8 @@ def learn(docs: DataFrame, *, rows_per_language: int = 1500, max_order: int = 3)
     rates = spark.createDataFrame(
         [(r["lang"], place[r["lang"]], rows_per_language / r["count"]) for r in rows], "lang string, owner int, rate double"
     )
+    if len(rows) <= BROADCAST:
+        rates = F.broadcast(rates)
     draw = (F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "text").bitwiseAND(2**40 - 1)) / float(2**40)
     sample = known.join(rates, "lang").where(draw < F.col("rate")).select("owner", "text")
     grams = (

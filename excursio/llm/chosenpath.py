@@ -10,7 +10,8 @@ each. Two sets with the wanted similarity share at least ``rate`` chosen tokens
 they miss each other in a run with probability ``exp(-rate)`` at most, and in all ``runs`` with
 ``exp(-rate * runs)`` (6e-6 by default). A set whose other buckets already find every partner of it, up to a chance of
 ``MISS``, leaves its large buckets. Those that stay large are split again on newly
-chosen tokens; a path is the sequence of tokens. Splitting ends when a bucket is small, when most
+chosen tokens, as many as bring what the other buckets may miss down to ``MISS``; a path is the sequence of tokens.
+Splitting ends when a bucket is small, when most
 of it stays together however it is split (then its members are alike), or after the last level.
 
 Buckets at the end of their path are compared by exact intersection. Large ones are dealt out as
@@ -36,7 +37,7 @@ WIDTH = 5
 THRESHOLD = 0.8
 RUNS = 8
 RATE = 1.5
-#: Deeper levels choose more tokens: only large buckets pay for it, and hardly a pair is lost.
+#: Tokens that deeper levels choose at most, as ``RATE`` for the first.
 DEEP_RATE = 6.0
 LEVELS = 3
 #: Buckets of at most so many sets are compared at once.
@@ -47,13 +48,18 @@ BLOCK = 512
 ALIKE = 0.75
 #: Members of a bucket, about, whose tokens decide whether it is alike.
 JUDGED = 64
-#: A set may miss a partner with this chance, if it leaves the large buckets.
+#: A set may miss a partner with this chance.
 MISS = 1e-4
 _RUN_MASK = 15
 
 
-def _chosen(sets: list[np.ndarray], rate: float, level: int, runs: int, threshold: float) -> list[np.ndarray]:
-    """For each set the tokens it chooses in all runs; the lowest bits of a token name the run."""
+def _chosen(
+    sets: list[np.ndarray], rate: float | np.ndarray, level: int, runs: int, threshold: float
+) -> list[np.ndarray]:
+    """For each set the tokens it chooses in all runs; the lowest bits of a token name the run.
+
+    ``rate`` may differ by set; a token that a set chooses at some rate it also chooses at higher ones.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -88,15 +94,33 @@ def _features(width: int, threshold: float, runs: int, rate: float):
     return features
 
 
-def _deep_choices(width: int, threshold: float, runs: int, rate: float, levels: int):
+def _deep_rates(missed: np.ndarray, held: np.ndarray, threshold: float) -> np.ndarray:
+    """The rates at which sets have to split their ``held`` large buckets, if all others miss a partner with ``missed``.
+
+    A partner is in a large bucket with a chance of ``threshold`` squared at least, and is met there if
+    every level below shares a choice. The partner with the lower rate decides: it reckons for both.
+    """
+    wanted = (1 - np.minimum(MISS / missed, 1) ** (1 / held)) / threshold**2
+    rates = np.linspace(DEEP_RATE / 64, DEEP_RATE, 64)
+    met = np.ones(len(rates))
+    for _ in range(1, LEVELS):
+        met = 1 - np.exp(-rates * met)
+    return rates[np.minimum(np.searchsorted(met, wanted), len(rates) - 1)]
+
+
+def _deep_choices(width: int, threshold: float, runs: int):
+    """The tokens of the deeper levels, and those of the highest rate, which judge whether buckets are alike."""
+
     def choices(batches):
         for batch in batches:
             texts, reps = batch["text"].tolist(), batch["rep"].to_numpy()
+            rates = _deep_rates(batch["missed"].to_numpy(), batch["held"].to_numpy(), threshold)
             for part in textbytes.slices(texts):
                 sets = textbytes.shingles(texts[part], width)
                 out = {"rep": reps[part]}
-                for level in range(1, levels):
-                    out[f"tokens{level}"] = _chosen(sets, rate, level, runs, threshold)
+                for level in range(1, LEVELS):
+                    out[f"tokens{level}"] = _chosen(sets, rates[part], level, runs, threshold)
+                    out[f"judges{level}"] = _chosen(sets, DEEP_RATE, level, runs, threshold)
                 yield pd.DataFrame(out)
 
     return choices
@@ -120,15 +144,14 @@ def _missed(chosen: Column, large: Column, threshold: float) -> Column:
     return F.pow(1 - met, chosen - large)
 
 
-def _children(buckets: DataFrame, deep: DataFrame, level: int) -> DataFrame:
+def _children(buckets: DataFrame, deep: DataFrame, tokens: str) -> DataFrame:
     """The buckets of the next level that the members of ``buckets`` choose, a row for each."""
     run = F.col("path").bitwiseAND(_RUN_MASK)
-    tokens = F.filter(f"tokens{level}", lambda t: t.bitwiseAND(_RUN_MASK) == run)
-    found = buckets.join(deep, "rep").select(F.col("path").alias("parent"), "rep", "held", tokens.alias("tokens"))
-    found = found.select("parent", "rep", "held", F.size("tokens").alias("chosen"), F.explode("tokens").alias("token"))
+    own = F.filter(tokens, lambda t: t.bitwiseAND(_RUN_MASK) == run)
+    found = buckets.join(deep, "rep").select(F.col("path").alias("parent"), "rep", F.explode(own).alias("token"))
     child = F.xxhash64("parent", "token").bitwiseAND(-1 - _RUN_MASK)
     child = child.bitwiseOR(F.col("parent").bitwiseAND(_RUN_MASK))
-    return found.select("parent", "rep", "held", "chosen", child.alias("path"))
+    return found.select("parent", "rep", child.alias("path"))
 
 
 def _leaves(sets: DataFrame, texts: DataFrame, options: dict) -> DataFrame:
@@ -139,38 +162,30 @@ def _leaves(sets: DataFrame, texts: DataFrame, options: dict) -> DataFrame:
     leaves = [found.where(small).withColumn("blocked", F.lit(False))]
     held = found.where(~small).groupBy("rep").agg(F.count(F.lit(1)).alias("held"))
     held = held.join(sets.select("rep", F.size("tokens").alias("chosen")), "rep")
-    held = held.where(_missed(F.col("chosen"), F.col("held"), threshold) > MISS).select("rep", "held")
-    large = _crowded(found.where(~small).drop("n").join(held, "rep"), ["path"])
-    large = write_shared(large, "buckets")
+    held = held.withColumn("missed", _missed(F.col("chosen"), F.col("held"), threshold)).where(F.col("missed") > MISS)
+    held = write_shared(held.select("rep", "held", "missed"), "held")
+    large = write_shared(_crowded(found.where(~small).drop("n").join(held.select("rep"), "rep"), ["path"]), "buckets")
     leaves.append(large.where(small).withColumn("blocked", F.lit(False)))
     large = large.where(~small)
-    deep = texts.join(large.select("rep").distinct(), "rep").mapInPandas(
-        _deep_choices(options["width"], threshold, options["runs"], DEEP_RATE, LEVELS),
-        "rep long" + "".join(f", tokens{k} array<long>" for k in range(1, LEVELS)),
+    deep = texts.join(held.join(large.select("rep").distinct(), "rep"), "rep").mapInPandas(
+        _deep_choices(options["width"], threshold, options["runs"]),
+        "rep long" + "".join(f", tokens{k} array<long>, judges{k} array<long>" for k in range(1, LEVELS)),
     )
     deep = write_shared(deep, "choices")
     for level in range(1, LEVELS):
         # Some members settle whether a bucket is alike: that only decides how it is compared.
         draw = F.xxhash64("path", "rep", F.lit(level)).bitwiseAND(2**30 - 1) / float(2**30)
-        judged = _children(large.where(draw * F.col("n") < JUDGED), deep, level)
+        judged = _children(large.where(draw * F.col("n") < JUDGED), deep, f"judges{level}")
         met = judged.groupBy("parent").agg(F.count_distinct("rep").alias("above"))
         kinds = judged.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("n")).join(met, "parent")
         kept_together = F.sum(F.when(F.col("n") * 2 >= F.col("above"), F.col("n")).otherwise(0))
         alike = kinds.groupBy("parent").agg((kept_together >= F.sum("n") * ALIKE).alias("alike")).where("alike")
         together = write_shared(alike.select(F.col("parent").alias("path")), "alike")
         leaves.append(large.join(together, "path").withColumn("blocked", F.lit(True)))
-        children = _children(large.join(together, "path", "left_anti"), deep, level)
-        parted = children.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        below = write_shared(children.join(parted, "path"), "buckets")
+        children = _children(large.join(together, "path", "left_anti"), deep, f"tokens{level}")
+        below = write_shared(_crowded(children.select("path", "rep"), ["path"]), "buckets")
         leaves.append(below.where(small).withColumn("blocked", F.lit(False)))
-        # Partners share several of the large buckets of the first level, and may be missed in each.
-        often = F.greatest(F.col("held") * threshold**2, F.lit(1.0))
-        going = below.where(~small).groupBy("parent", "rep", "held", "chosen").agg(F.count(F.lit(1)).alias("l"))
-        going = going.where(_missed(F.col("chosen"), F.col("l"), threshold) > F.pow(F.lit(MISS), 1 / often))
-        large = below.where(~small).drop("n").join(going.select("parent", "rep"), ["parent", "rep"])
-        large = write_shared(_crowded(large.select("path", "rep", "held"), ["path"]), "buckets")
-        leaves.append(large.where(small).withColumn("blocked", F.lit(False)))
-        large = large.where(~small)
+        large = below.where(~small)
     leaves.append(large.withColumn("blocked", F.lit(True)))
     columns = ["path", "rep", "n", "blocked"]
     out = leaves[0].select(*columns)

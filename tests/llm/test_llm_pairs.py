@@ -89,6 +89,44 @@ def test_recall_at_the_threshold():
     assert missed == 0
 
 
+def test_recall_in_a_large_group(spark):
+    """In a group of 400 whose sets are at 0.8 or just above no link is lost: its buckets are compared completely."""
+    base = [f"w{k}" for k in range(270)]
+    rows = []
+    for k in range(400):
+        words, at = list(base), 20 + (k * 7) % 230
+        words[at : at + 4] = [f"own{k}a", f"own{k}b"]
+        if k % 3 == 0:
+            words[5:8] = [f"own{k}c"]
+        rows.append(corpus.row(k, " ".join(words)))
+    check_against_brute(spark, rows)
+
+
+def test_recall_below_the_first_level(spark):
+    """Pairs just above 0.8 that share a passage with 1,500 others meet below the first level: 0.999 of them at least."""
+    passage = [f"p{k}" for k in range(160)]
+    rows = []
+    for k in range(750):
+        own = [f"k{k}x{j}" for j in range(40)]
+        other = own[:12] + [f"k{k}y{j}" for j in range(17)] + own[29 + k % 2 :]
+        rows += [corpus.row(2 * k, " ".join(passage + own)), corpus.row(2 * k + 1, " ".join(passage + other))]
+    docs = corpus.frame(spark, rows)
+    sets = textbytes.shingles([r[1] for r in rows], 5)
+    alike = [len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for a, b in zip(sets[::2], sets[1::2])]
+    assert 0.8 <= min(alike) and max(alike) < 0.81
+    found = {r["doc_id"]: (r["class_id"], r["links"]) for r in chosenpath.near_duplicates(docs).collect()}
+    met = sum(found[2 * k] == found[2 * k + 1] == (2 * k, 1) for k in range(750))
+    assert met >= 749
+
+
+def test_rates_bring_the_chance_of_a_miss_down():
+    missed, held = np.array([1.0, 0.145, 2.7e-4]), np.array([15, 10, 5])
+    rates = chosenpath._deep_rates(missed, held, 0.8)
+    found = 1 - np.exp(-rates * (1 - np.exp(-rates)))
+    assert (rates < chosenpath.DEEP_RATE).all()
+    assert (missed * (1 - 0.64 * found) ** held <= chosenpath.MISS).all()
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(500, 400)], "a long, b long")
     labels = {r["node"]: r["label"] for r in chosenpath.components(edges).collect()}

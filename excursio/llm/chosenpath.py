@@ -14,7 +14,14 @@ chosen tokens, as many as bring what the other buckets may miss down to ``MISS``
 Splitting ends when a bucket is small, when most
 of it stays together however it is split (then its members are alike), or after the last level.
 
-Buckets at the end of their path are compared by exact intersection. Large ones are dealt out as
+Large buckets at the end of their path mostly repeat one group of near copies. Their members go to
+one centre each, the set of the shingles that most of a group have. If sets differ from their centre
+in few enough shingles, they are linked with each other by the triangle inequality: those are counted, not
+compared. The rest of a centre's sets is compared once, by what they differ from it in, with all
+sets of the centre. Sets well within a centre can't be linked with those that turn out too far from it,
+so they leave its buckets.
+
+Buckets are compared by exact intersection, but for pairs of one centre. Large ones are dealt out as
 pairs of blocks, so no task holds more than two blocks; none is cut off. A pair that shares
 several buckets counts only in that with the smallest path, so pairs are never written out to
 be told apart: a task returns, for each set, how many links it found and one member of its
@@ -46,8 +53,10 @@ SMALL = 32
 BLOCK = 512
 #: Members of a bucket are alike if so many of the tokens they choose lead at least half of them on.
 ALIKE = 0.75
-#: Members of a bucket, about, whose tokens decide whether it is alike.
+#: Members of a bucket, about, whose tokens decide whether it is alike, and whose shingles make its centre.
 JUDGED = 64
+#: Sets go to a centre with at least this Jaccard similarity to it.
+ATTACHED = 0.4
 #: A set may miss a partner with this chance.
 MISS = 1e-4
 _RUN_MASK = 15
@@ -204,6 +213,94 @@ def _distinct_buckets(leaves: DataFrame) -> DataFrame:
     return leaves.join(first, "path")
 
 
+def _bases(width: int):
+    def base(key, rows):
+        texts = rows["text"].tolist()
+        sets = [s for part in textbytes.slices(texts) for s in textbytes.shingles(texts[part], width)]
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        return pd.DataFrame({"centre": [key[0]], "base": [values[2 * counts > len(sets)].view(np.int64)]})
+
+    return base
+
+
+def _differences(width: int):
+    """How alike sets are to a centre (``alike``), and the shingles that only they or only the centre has, if they go to it."""
+
+    def differences(batches):
+        for batch in batches:
+            texts, reps, centres = batch["text"].tolist(), batch["rep"].to_numpy(), batch["centre"].to_numpy()
+            bases = batch["base"].tolist()
+            for part in textbytes.slices(texts):
+                rows = []
+                sets = textbytes.shingles(texts[part], width)
+                for rep, centre, base, own in zip(reps[part], centres[part], bases[part], sets):
+                    diff = np.setxor1d(own.view(np.int64), np.asarray(base, np.int64))
+                    both = len(own) + len(base)
+                    alike = (both - len(diff)) / (both + len(diff))
+                    rows.append((rep, centre, alike, len(own), diff if alike >= ATTACHED else diff[:0]))
+                yield pd.DataFrame(rows, columns=["rep", "centre", "alike", "size", "diff"])
+
+    return differences
+
+
+def _tried(leaves: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Members of large buckets with a centre: ``rep``, ``centre`` (never 0), ``alike``, ``size``, ``diff``.
+
+    Buckets that share half of their members use the centre of the largest of them. Where a set goes
+    only decides how it is compared.
+    """
+    held = leaves.where("blocked and path <> 0").select("rep", "path", "n")
+    draw = F.xxhash64("path", "rep", F.lit(0)).bitwiseAND(2**30 - 1) / float(2**30)
+    sample = write_shared(held.where(draw * F.col("n") < JUDGED).select("path", "rep"), "sample")
+    shared = sample.join(held.select("rep", F.struct("n", F.col("path").alias("centre")).alias("to")), "rep")
+    shared = shared.groupBy("path", "to").agg(F.count(F.lit(1)).alias("met"))
+    drawn = sample.groupBy("path").agg(F.count(F.lit(1)).alias("drawn"))
+    centres = shared.join(drawn, "path").where("met * 2 >= drawn").groupBy("path").agg(F.max("to").alias("to"))
+    centres = write_shared(centres, "centres")
+    judged = sample.join(centres.select(F.col("to.centre").alias("path")).distinct(), "path").join(texts, "rep")
+    bases = judged.groupBy("path").applyInPandas(_bases(width), "centre long, base array<long>")
+    own = held.join(centres, "path").groupBy("rep").agg(F.max("to").alias("to")).select("rep", "to.centre")
+    found = own.join(write_shared(bases, "bases"), "centre").join(texts, "rep")
+    found = found.mapInPandas(_differences(width), "rep long, centre long, alike double, size long, diff array<long>")
+    return write_shared(found, "tried")
+
+
+def _seats(members: DataFrame) -> DataFrame:
+    """The pairs of blocks (``i``, ``j``) in which members of each ``path`` are compared.
+
+    Those of ``kind`` 0 meet all, those of 1 each other, too; those of 2 don't meet but those of 0.
+    """
+    kind = F.col("kind")
+    blocks = [F.ceil(F.count_if(kind == k) / BLOCK).alias(f"blocks{k}") for k in range(3)]
+    seats = members.join(members.groupBy("path").agg(*blocks), "path")
+    ends = [F.col("blocks0"), F.col("blocks0") + F.col("blocks1"), F.col("blocks0") + F.col("blocks1") + F.col("blocks2")]
+    begin = F.when(kind == 0, 0).when(kind == 1, ends[0]).otherwise(ends[1])
+    own = F.when(kind == 0, F.col("blocks0")).when(kind == 1, F.col("blocks1")).otherwise(F.col("blocks2"))
+    meets = F.when(kind == 0, ends[2]).when(kind == 1, ends[1]).otherwise(ends[0])
+    seats = seats.withColumn("block", begin + F.pmod(F.xxhash64("rep", F.lit(5)), own)).where(meets > 0)
+    seats = seats.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)))
+    return seats.select("path", "rep", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
+def _parted(leaves: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """Buckets that hold more than the sets of one centre: ``path``, ``rep``, ``centre`` (or 0), ``kind``.
+
+    In large buckets, sets that have tried the most frequent centre are of kind 1. Jaccard distances
+    obey the triangle inequality, so those that it holds well within (kind 2) have no links with those that
+    it doesn't hold.
+    """
+    members = leaves.select("path", "rep", "blocked").join(tried.select("rep", "centre", "alike"), "rep", "left")
+    held = F.when(F.col("alike") >= ATTACHED, F.col("centre")).otherwise(0)
+    members = members.withColumn("tried", F.col("centre")).withColumn("centre", held)
+    parts = members.groupBy("path", "centre").agg(F.count(F.lit(1)).alias("k"))
+    most = F.max(F.when(F.col("centre") != 0, F.struct("k", F.col("centre").alias("most")))).alias("top")
+    mixed = parts.groupBy("path").agg(most, F.sum("k").alias("n")).where("top is null or top.k < n")
+    members = members.join(mixed.select("path", "top.most"), "path")
+    inner = F.col("alike") >= ATTACHED + 1 - threshold + 1e-6
+    kind = F.when(F.col("blocked") & (F.col("tried") == F.col("most")), F.when(inner, 2).otherwise(1)).otherwise(0)
+    return members.select("path", "rep", "centre", kind.alias("kind"))
+
+
 def _incidence(lists: list[np.ndarray]) -> np.ndarray:
     """How many values each two of the lists share."""
     n = len(lists)
@@ -229,24 +326,15 @@ def _incidence(lists: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _linked(reps, copies, blocks, i, j, path, leaves, sets, threshold):
-    """Links that count in this bucket: the sets that have any, a member of their part, and weights."""
-    reps, first = np.unique(reps, return_index=True)
-    sets, leaves = [sets[k] for k in first], [leaves[k] for k in first]
-    copies, blocks = copies[first], blocks[first]
-    sizes = np.array([len(s) for s in sets], np.float64)
-    common = _incidence(sets).astype(np.float64)
-    near = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-6
-    near &= common > 0
-    np.fill_diagonal(near, False)
-    if i != j:
-        near &= blocks[:, None] != blocks[None, :]
-    if near.any():
-        near &= _incidence([x[x < path] for x in leaves]) == 0
-    weights = near @ copies
+def _linked(rows: pd.DataFrame, near: np.ndarray) -> pd.DataFrame | None:
+    """The sets that have links by ``near``: a member of their part, and the weight of their links."""
+    if not near.any():
+        return None
+    reps = rows["rep"].to_numpy()
+    weights = near @ rows["copies"].to_numpy(np.int64)
     some = np.flatnonzero(near.any(1))
     label = np.arange(len(reps))
-    while len(some):
+    while True:
         least = np.where(near[some], label[None, :], len(reps)).min(1)
         less = np.minimum(label[some], least)
         if (less == label[some]).all():
@@ -255,43 +343,100 @@ def _linked(reps, copies, blocks, i, j, path, leaves, sets, threshold):
     return pd.DataFrame({"rep": reps[some], "part": reps[label[some]], "links": weights[some]})
 
 
-def _compare(width: int, threshold: float):
+def _near(common: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    near = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-6
+    near &= common > 0
+    np.fill_diagonal(near, False)
+    return near
+
+
+def _in_bucket(threshold: float):
+    """Links that count in this bucket."""
+
+    def linked(rows, path):
+        sets = rows["set"].tolist()
+        near = _near(_incidence(sets).astype(np.float64), np.array([len(s) for s in sets], np.float64), threshold)
+        centres = rows["centre"].to_numpy()
+        near &= (centres[:, None] != centres[None, :]) | (centres == 0)[:, None]
+        if near.any():
+            leaves = [np.asarray(x, np.int64) for x in rows["leaves"]]
+            near &= _incidence([x[x < path] for x in leaves]) == 0
+        return near
+
+    return linked
+
+
+def _at_centre(threshold: float):
+    """Links between sets of a centre, by what they differ from it in."""
+
+    def linked(rows, path):
+        diffs = [np.asarray(x, np.int64) for x in rows["diff"]]
+        apart = np.array([len(x) for x in diffs], np.float64)
+        sizes = rows["size"].to_numpy(np.float64)
+        common = (sizes[:, None] + sizes[None, :] - apart[:, None] - apart[None, :]) / 2 + _incidence(diffs)
+        return _near(common, sizes, threshold)
+
+    return linked
+
+
+def _compare(linked, width: int):
+    """Links of every pair of blocks by ``linked``; rows come by ``path``, ``i`` and ``j``."""
+
     def compare(batches):
         key, held = None, []
 
         def settle():
             rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+            rows = rows.drop_duplicates("rep")
             if len(rows) < 2:
                 return None
             path, i, j = key
-            return _linked(
-                rows["rep"].to_numpy(),
-                rows["copies"].to_numpy(np.int64),
-                rows["block"].to_numpy(),
-                i,
-                j,
-                path,
-                [np.asarray(x, np.int64) for x in rows["leaves"]],
-                rows["set"].tolist(),
-                threshold,
-            )
+            near = linked(rows, path)
+            if i != j:
+                blocks = rows["block"].to_numpy()
+                near &= blocks[:, None] != blocks[None, :]
+            return _linked(rows, near)
 
         for batch in batches:
-            texts = batch.pop("text").tolist()
-            batch["set"] = [s for part in textbytes.slices(texts) for s in textbytes.shingles(texts[part], width)]
-            del texts
+            if "text" in batch:
+                texts = batch.pop("text").tolist()
+                batch["set"] = [s for part in textbytes.slices(texts) for s in textbytes.shingles(texts[part], width)]
+                del texts
             for own, rows in batch.groupby(["path", "i", "j"], sort=False):
                 if own != key:
-                    if held and (found := settle()) is not None and len(found):
+                    if held and (found := settle()) is not None:
                         yield found
                     key, held = own, []
                 held.append(rows)
-        if held and (found := settle()) is not None and len(found):
+        if held and (found := settle()) is not None:
             yield found
 
     return compare
 
 
+def _links(members: DataFrame, facts: DataFrame, linked, width: int) -> DataFrame:
+    """Links within each ``path``, compared in pairs of blocks: ``rep``, ``part``, ``links``."""
+    return (
+        _seats(members)
+        .join(facts, "rep")
+        .repartition("path", "i", "j")
+        .sortWithinPartitions("path", "i", "j")
+        .mapInPandas(_compare(linked, width), "rep long, part long, links long")
+    )
+
+
+def _centre_links(attached: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links between sets of the same centre: ``rep``, ``part``, ``links``."""
+    members = attached.join(classes.select("rep", "copies"), "rep").withColumnRenamed("centre", "path")
+    main = F.size("diff") * (1 + threshold) <= (1 - threshold) * F.col("size")
+    seated = members.select("path", "rep", F.when(main, 2).otherwise(0).alias("kind"))
+    far = _links(seated, members.drop("path"), _at_centre(threshold), width)
+    # Two main sets differ in (1 - t) / (1 + t) of their sizes' sum at most.
+    close = members.where(main).groupBy("path").agg(F.sum("copies").alias("all"), F.min("rep").alias("part"))
+    close = members.where(main).join(close, "path").select("rep", "part", (F.col("all") - F.col("copies")).alias("links"))
+    return far.unionByName(close.where("links > 0"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node of each node's connected part, from edges (``a``, ``b``): ``node``, ``label``.
 
@@ -346,19 +491,12 @@ def near_duplicates(
     texts = rows.select(F.col("row").alias("rep"), "text")
     leaves = write_shared(_distinct_buckets(_leaves(sets, texts, options)), "leaves")
 
-    lists = leaves.groupBy("rep").agg(F.collect_list("path").alias("leaves"))
+    tried = _tried(leaves, texts, width)
+    leaves = write_shared(_parted(leaves, tried, threshold), "parted")
+    lists = leaves.groupBy("rep").agg(F.collect_list("path").alias("leaves"), F.first("centre").alias("centre"))
     members = texts.join(lists, "rep").join(classes.select("rep", "copies"), "rep")
-    blocks = F.when(F.col("blocked"), F.ceil(F.col("n") / BLOCK)).otherwise(1)
-    seats = leaves.withColumn("m", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), "m"))
-    seats = seats.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
-    seats = seats.select("path", "rep", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    compared = (
-        seats.join(members, "rep")
-        .repartition("path", "i", "j")
-        .sortWithinPartitions("path", "i", "j")
-        .select("path", "i", "j", "block", "rep", "copies", "leaves", "text")
-        .mapInPandas(_compare(width, threshold), "rep long, part long, links long")
-    )
+    compared = _links(leaves.select("path", "rep", "kind"), members, _in_bucket(threshold), width)
+    compared = compared.unionByName(_centre_links(tried.where(F.col("alike") >= ATTACHED), classes, width, threshold))
     compared = write_shared(compared, "links")
     links = compared.groupBy("rep").agg(F.sum("links").alias("near"))
     labels = components(compared.select(F.col("rep").alias("a"), F.col("part").alias("b")))

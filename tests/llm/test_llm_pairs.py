@@ -9,6 +9,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -119,6 +120,49 @@ def test_recall_below_the_first_level(spark):
     assert met >= 749
 
 
+def test_groups_about_centres_equal_brute_force(spark, monkeypatch):
+    """Near, middling and far copies of two texts that share a half, and texts that only hold a half: all links, by centre or bucket."""
+    monkeypatch.setattr(chosenpath, "SMALL", 4)
+    monkeypatch.setattr(chosenpath, "BLOCK", 8)
+    base = corpus.sentence("en", 150, 510)
+    half = " ".join(base.split()[:75])
+    second = half + " " + corpus.sentence("de", 75, 511)
+    rows = [corpus.row(5000 + k, edited(base, k, k % 16)) for k in range(90)]
+    rows += [corpus.row(6000 + k, edited(second, k, k % 7)) for k in range(20)]
+    rows += [corpus.row(7000 + k, half + " " + corpus.sentence("fr", 40 + 9 * (k % 9), 800 + k)) for k in range(15)]
+    rows += [corpus.row(8000 + k, edited(rows[15][1], 99 + k, k % 4)) for k in range(12)]
+    kinds, parted = Counter(), chosenpath._parted
+
+    def seen(*args):
+        found = parted(*args)
+        kinds.update({r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()})
+        return found
+
+    monkeypatch.setattr(chosenpath, "_parted", seen)
+    check_against_brute(spark, rows)
+    assert all(kinds[k] for k in range(3)), kinds
+
+
+def test_rows_compared_follow_the_size_of_a_group(spark, monkeypatch):
+    """Near copies with an edit each, two apart: rows that go to comparison don't grow with the square of their number."""
+    compared, plain = [], DataFrame.mapInPandas
+
+    def seen(self, func, schema, *args, **options):
+        if str(schema).startswith("rep long, part long"):
+            compared.append(self.count())
+        return plain(self, func, schema, *args, **options)
+
+    monkeypatch.setattr(DataFrame, "mapInPandas", seen)
+    monkeypatch.setattr(chosenpath, "BLOCK", 16)
+    base, made = corpus.sentence("en", 300, 520), []
+    for n in (150, 600):
+        compared.clear()
+        docs = corpus.frame(spark, [corpus.row(k, edited(base, k, 1 + k % 2)) for k in range(n)])
+        assert {(r["class_id"], r["links"]) for r in chosenpath.near_duplicates(docs).collect()} == {(0, n - 1)}
+        made.append(sum(compared))
+    assert made[1] <= max(8 * made[0], 4 * 600)
+
+
 def test_rates_bring_the_chance_of_a_miss_down():
     missed, held = np.array([1.0, 0.145, 2.7e-4]), np.array([15, 10, 5])
     rates = chosenpath._deep_rates(missed, held, 0.8)

@@ -222,3 +222,13 @@ def test_registered_leaderboard_fits_the_published_models(monkeypatch, demand, p
     assert seen == [(training.TrainingOptions(), None)]
     assert (seen[0][0].trees, seen[0][0].forest_depth) == (300, 10)
     assert (seen[0][0].rounds, seen[0][0].boost_depth) == (300, 5)
+
+
+def test_fitting_keeps_no_copy_of_the_matrix(monkeypatch, parts):
+    def persist(frame, *level):
+        raise AssertionError("the encoded matrix is kept")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(parts[0]), name, persist)
+    fitted, scores = training.fit_all(*parts, options=QUICK, only=["ridge"])
+    assert set(fitted) == {"ridge"} and scores.first()["n"] > 0

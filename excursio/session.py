@@ -1,7 +1,7 @@
 """Session defaults.
 
-Only runtime SQL settings that change correctness (time zone) or let Spark repair skewed
-joins by itself are set here; partition counts and memory stay with the cluster.
+Only runtime SQL settings that change correctness (time zone), let Spark repair skewed joins by
+itself or free disk early are set here; partition counts and memory stay with the cluster.
 """
 
 from __future__ import annotations
@@ -16,6 +16,12 @@ RUNTIME_SETTINGS = {
     # downstream: a single hot experience may own a third of all bookings.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A finished query's shuffle files go at once, not when the driver happens to collect its garbage:
+    # a job of many writes would hold the shuffles of all of them.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # A stream's checkpoint keeps the state of the last batches only; a restart needs one.
+    "spark.sql.streaming.minBatchesToRetain": "2",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
 }
 
 

@@ -35,6 +35,8 @@ _LINE = "_line"
 _REASONS = "_reasons"
 _FILE, _SIZE, _MODIFIED = "_file", "_size", "_modified"
 HALT, QUARANTINE = "halt", "quarantine"
+# Rows are gathered by day before they are written, where files of fewer landing bytes than that would come of it.
+SMALL_FILE = 250_000
 
 
 @dataclass(frozen=True)
@@ -208,13 +210,13 @@ def remove_unfinished(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     return sorted(gone)
 
 
-def write_days(df: DataFrame, path: str) -> None:
+def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
     """Write ``dt``/``load`` partitions, replacing only the ones present in ``df``.
 
     Rows of a day are gathered first, and large days split again by size, so the number of files
-    follows the data and not tasks times days.
+    follows the data and not tasks times days. ``gather=False`` spares that shuffle where days are few.
     """
-    writer = df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = (df.hint("rebalance", "dt") if gather else df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt", "load").parquet(path)
 
 
@@ -233,12 +235,14 @@ def _store(parsed: DataFrame, lake: Lake, table: str, name: str, on_violation: s
     if taken is not None:
         parsed = parsed.join(taken.select(_FILE), _FILE, "left_anti")
     load = f"{name}-{uuid.uuid4().hex}"
-    held = write_shared(parsed.withColumn("load", F.lit(load)), f"load-{table}")
+    # The gate's shuffle is over, and its files gone, once the batch is held; what follows reads the copy.
+    gated = _with_gate_reasons(parsed, table) if on_violation == QUARANTINE else parsed
+    held = write_shared(gated.withColumn("load", F.lit(load)), f"load-{table}")
     try:
         if held.isEmpty():
             return
         listed = held.groupBy(_FILE).agg(F.first(_SIZE).alias(_SIZE), F.first(_MODIFIED).alias(_MODIFIED), row_count("rows"))
-        batch = held.drop(_FILE, _SIZE, _MODIFIED)
+        batch, gather = held.drop(_FILE, _SIZE, _MODIFIED), True
         if on_violation == HALT:
             found = gate_batch(table, accepted(batch)).filter("violations > 0").collect()
             if found:
@@ -246,8 +250,10 @@ def _store(parsed: DataFrame, lake: Lake, table: str, name: str, on_violation: s
                     [{"table": table, "check": r["rule"], "violations": r[-1]} for r in found]
                 )
         else:
-            batch = _with_gate_reasons(batch, table)
-        write_days(accepted(batch), lake.raw(table))
+            # Every task may write each day; that is left to the writers unless files would become tiny.
+            size, days = listed.agg(F.sum(_SIZE)).first()[0], held.select("dt").distinct().count()
+            gather = len(held.inputFiles()) * days * SMALL_FILE > size
+        write_days(accepted(batch), lake.raw(table), gather)
         write_days(rejected(batch), lake.quarantine(table))
         listed.write.parquet(f"{lake.loaded_files(table)}/load={load}")
 
@@ -363,15 +369,16 @@ def _with_file(lines: DataFrame) -> DataFrame:
     return lines.withColumns({_FILE: meta["file_path"], _SIZE: meta["file_size"], _MODIFIED: meta["file_modification_time"]})
 
 
-def write_landing(df: DataFrame, lake: Lake, table: str, day: str | Column) -> None:
-    """Hand over a frame as day-partitioned CSV files, with every value as Spark prints it.
+def write_landing(df: DataFrame, lake: Lake, table: str, day: str | Column, gather: bool = True) -> None:
+    """Hand over a frame as day-partitioned CSV files (gzip), with every value as Spark prints it.
 
-    The CSV writer's own timestamp format stops at milliseconds.
+    The CSV writer's own timestamp format stops at milliseconds. ``gather=False`` is for few and large
+    days: every task writes a file of each, and no row is shuffled.
     """
     texts = [F.col(c).cast("string").alias(c) for c in df.columns]
     dated = df.select(*texts, F.to_date(day).alias("dt"))
-    writer = dated.hint("rebalance", "dt").write.mode("append").partitionBy("dt").option("header", True)
-    writer.option("escape", '"').csv(lake.files(table))
+    writer = (dated.hint("rebalance", "dt") if gather else dated).write.mode("append").partitionBy("dt").option("header", True)
+    writer.option("escape", '"').option("compression", "gzip").csv(lake.files(table))
 
 
 def load_reconciliation(spark: SparkSession, lake: Lake, table: str) -> DataFrame:

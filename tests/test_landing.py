@@ -11,7 +11,7 @@ from excursio.operators.quality import CheckFailed
 from excursio.plans import runs
 from excursio.sources import commits, landing, state
 from excursio.sources.landing import Lake
-from tests.conftest import as_dicts, at, booking, event
+from tests.conftest import as_dicts, at, booking, event, frames
 
 DAY1, DAY2 = dt.date(2026, 1, 2), dt.date(2026, 1, 3)
 SETTINGS = runs.Settings(
@@ -295,6 +295,33 @@ def test_quarantine_takes_repeated_bookings(spark, lake):
     assert landing.read_quarantine(spark, lake, "bookings").first()["reason"] == "rule: unique booking_id"
 
 
+def test_repeats_are_sought_once_for_both_parts(spark, lake, monkeypatch):
+    rows = [booking(n, "C1", "EXP000001", at("2026-01-01", f"1{k}:00"), "2026-01-02") for n in range(1, 4) for k in (1, 0)]
+    put(lake, "bookings", DAY1, csv_of(reordered(rows, "bookings")))
+    write, plans = landing.write_days, []
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, *rest)
+
+    monkeypatch.setattr(landing, "write_days", noted)
+    landing.ingest(spark, lake, "bookings", on_violation=landing.QUARANTINE)
+    assert len(plans) == 2 and not any("Window" in p for p in plans)  # both read what was gated
+    assert landing.read_raw(spark, lake, "bookings").count() == landing.read_quarantine(spark, lake, "bookings").count() == 3
+
+
+def test_landing_files_are_small_and_whole(spark, lake):
+    from pathlib import Path
+
+    rows = [booking(n, f"C{n}", "EXP000001", at("2026-01-01"), "2026-01-02") for n in range(2_000)]
+    made = frames(spark, {"bookings": rows})["bookings"]
+    landing.write_landing(made.repartition(3), lake, "bookings", "experience_date", gather=False)
+    files = list(Path(lake.files("bookings")).rglob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 60 * len(rows)  # as plain text about 110 bytes a row
+    landing.ingest(spark, lake, "bookings", on_violation=landing.QUARANTINE)
+    assert landing.read_raw(spark, lake, "bookings").count() == len(rows)
+
+
 def counts(spark, lake, table="availability"):
     found = landing.load_reconciliation(spark, lake, table).orderBy("dt").collect()
     assert all(r["complete"] for r in found)

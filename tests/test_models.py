@@ -311,3 +311,16 @@ def test_written_models_give_the_same_results(spark, market):
         assert market.table(name).exceptAll(wh.table(name)).count() == 0
     wh.create_views(["fact_bookings"])
     assert spark.sql("select count(*) from fact_bookings").first()[0] == 10
+
+
+def test_sections_of_checks_are_counted_one_after_the_other(market, monkeypatch):
+    summarise, counted = quality.summarise, []
+
+    def noted(tables, declared):
+        counted.append(len(declared))
+        return summarise(tables, declared)
+
+    monkeypatch.setattr(quality, "summarise", noted)
+    rows = checks.check_models(market).collect()
+    assert len(counted) == 4 and sum(counted) == len(checks.MODEL_CHECKS) == len(rows) - 1  # and the conservation test
+    assert max(counted) < len(checks.MODEL_CHECKS) / 2

@@ -210,13 +210,18 @@ def remove_unfinished(spark: SparkSession, lake: Lake, table: str) -> list[str]:
     return sorted(gone)
 
 
-def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
+def write_days(df: DataFrame, path: str) -> None:
     """Write ``dt``/``load`` partitions, replacing only the ones present in ``df``.
 
     Rows of a day are gathered first, and large days split again by size, so the number of files
-    follows the data and not tasks times days. ``gather=False`` spares that shuffle where days are few.
+    follows the data and not tasks times days.
     """
-    writer = (df.hint("rebalance", "dt") if gather else df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _write_as_dealt(df.hint("rebalance", "dt"), path)
+
+
+def _write_as_dealt(df: DataFrame, path: str) -> None:
+    """``write_days`` without the shuffle, for few and large days: every task writes a file of each."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt", "load").parquet(path)
 
 
@@ -242,7 +247,7 @@ def _store(parsed: DataFrame, lake: Lake, table: str, name: str, on_violation: s
         if held.isEmpty():
             return
         listed = held.groupBy(_FILE).agg(F.first(_SIZE).alias(_SIZE), F.first(_MODIFIED).alias(_MODIFIED), row_count("rows"))
-        batch, gather = held.drop(_FILE, _SIZE, _MODIFIED), True
+        batch, write = held.drop(_FILE, _SIZE, _MODIFIED), write_days
         if on_violation == HALT:
             found = gate_batch(table, accepted(batch)).filter("violations > 0").collect()
             if found:
@@ -252,8 +257,9 @@ def _store(parsed: DataFrame, lake: Lake, table: str, name: str, on_violation: s
         else:
             # Every task may write each day; that is left to the writers unless files would become tiny.
             size, days = listed.agg(F.sum(_SIZE)).first()[0], held.select("dt").distinct().count()
-            gather = len(held.inputFiles()) * days * SMALL_FILE > size
-        write_days(accepted(batch), lake.raw(table), gather)
+            if len(held.inputFiles()) * days * SMALL_FILE <= size:
+                write = _write_as_dealt
+        write(accepted(batch), lake.raw(table))
         write_days(rejected(batch), lake.quarantine(table))
         listed.write.parquet(f"{lake.loaded_files(table)}/load={load}")
 

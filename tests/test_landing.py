@@ -310,11 +310,13 @@ def test_repeats_are_sought_once_for_both_parts(spark, lake, monkeypatch):
     assert landing.read_raw(spark, lake, "bookings").count() == landing.read_quarantine(spark, lake, "bookings").count() == 3
 
 
-def test_landing_files_are_small_and_whole(spark, lake):
+@pytest.mark.parametrize("small", [0, 250_000])
+def test_landing_files_are_small_and_whole(spark, lake, monkeypatch, small):
     from pathlib import Path
 
     rows = [booking(n, f"C{n}", "EXP000001", at("2026-01-01"), "2026-01-02") for n in range(2_000)]
     made = frames(spark, {"bookings": rows})["bookings"]
+    monkeypatch.setattr(landing, "SMALL_FILE", small)  # 0: loaded rows aren't gathered
     landing.write_landing(made.repartition(3), lake, "bookings", "experience_date", gather=False)
     files = list(Path(lake.files("bookings")).rglob("part-*"))
     assert len(files) == 3 and sum(f.stat().st_size for f in files) < 60 * len(rows)  # as plain text about 110 bytes a row
